@@ -16,7 +16,6 @@ TIME_FORMATS = (
     "MM/dd/yyyy HH:mm:ss",
     "MM/dd/yyyy HH:mm:ss.SSS",
     "MMM d, yyyy HH:mm:ss",
-    "EEE MMM dd yyyy HH:mm:ss",
     "yyyyMMddHHmmss",
 )
 # -----------------------------------------------------------------------------------

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..schemas import EVENT_ORDER, K2, K3, K4, LONGEST_GAP_SECONDS
-from .ordered import Lanes, Previous, RunningSum, Whole, at
-from .visits import is_action
+from ..schemas import ACTION_EVENTS, EVENT_ORDER, K2, K3, K4, LONGEST_GAP_SECONDS
+from .ordered import Lanes, Previous, RunningSum, Whole
 
 GAP_US = LONGEST_GAP_SECONDS * 1_000_000
 ATTEMPT_ORDER = ["attemptHlc", "start_time", "seq0"]
@@ -20,51 +19,43 @@ ATTEMPT_COLUMNS = [
 ]
 
 
-def _count(column: str, value: str) -> Column:
-    return F.count_if(F.col(column) == value)
+_WHEN = f"struct({', '.join(EVENT_ORDER)})"
+_ACTION = f"eventType IN ({', '.join(repr(e) for e in ACTION_EVENTS)})"
+_FIRST_STEP = f"min({_WHEN}) FILTER (WHERE eventType = 'mathStep')"
+_FIRST_MISTAKE = f"min({_WHEN}) FILTER (WHERE eventType = 'mathMistake')"
 
-
-def _any(condition: Column) -> Column:
-    return F.coalesce(F.bool_or(F.coalesce(condition, F.lit(False))), F.lit(False))
+ATTEMPT_AGGREGATES = {
+    "studentRef": f"min_by(studentRef, {_WHEN}) FILTER (WHERE studentRef IS NOT NULL)",
+    "start_time": "min(timestamp)",
+    "end_time": "max(timestamp)",
+    "seq0": f"min({_WHEN}).seq",
+    "total_time": f"sum(delta_us) FILTER (WHERE delta_us < {GAP_US}) / 1e6D",
+    # The struct keeps a null delta: the first action alone decides the pause.
+    "_pause_us": f"min_by(struct(delta_us), {_WHEN}) FILTER (WHERE {_ACTION}).delta_us",
+    "num_steps": "count_if(eventType = 'mathStep')",
+    "num_errors": "count_if(eventType = 'mathMistake')",
+    "completed_dur_attempt": "count_if(eventType = 'solvedTask') > 0",
+    "num_visits": "count_if(eventType = 'visitTask')",
+    "validity_first_step": f"""CASE WHEN {_FIRST_STEP} IS NULL THEN NULL
+        WHEN {_FIRST_MISTAKE} IS NULL THEN true ELSE {_FIRST_STEP} < {_FIRST_MISTAKE} END""",
+    "num_hints": "count_if(eventType = 'showHint')",
+    "num_keypad_errors": "count_if(mistake = 'keypad')",
+    "num_shaking_errors": "count_if(mistake = 'tap')",
+    "num_snapping_errors": "count_if(mistake = 'drag')",
+    "stars": "max(stars)",
+    "clicked_reset_button": "count_if(next_reset_reason = 'resetButton') > 0",
+    "clicked_retry_button": "count_if(next_reset_reason = 'retryButton') > 0",
+}
 
 
 def summarize_attempts(events: Lanes) -> Lanes:
     """Aggregate attempt events; gaps of five minutes and more are not working time."""
-    when = at(EVENT_ORDER)
-    first_step = F.min(F.when(F.col("eventType") == "mathStep", when))
-    first_mistake = F.min(F.when(F.col("eventType") == "mathMistake", when))
-    short = F.col("delta_us") < GAP_US
-    # The struct keeps a null delta: the first action alone decides the pause.
-    pause = F.min_by(F.struct("delta_us"), F.when(is_action(), when))["delta_us"]
     lanes = events.aggregate(
-        K4,
-        F.min_by("studentRef", F.when(F.col("studentRef").isNotNull(), when)).alias("studentRef"),
-        F.min("timestamp").alias("start_time"),
-        F.max("timestamp").alias("end_time"),
-        F.min(when)["seq"].alias("seq0"),
-        (F.sum(F.when(short, F.col("delta_us"))) / 1e6).alias("total_time"),
-        pause.alias("_pause_us"),
-        _count("eventType", "mathStep").alias("num_steps"),
-        _count("eventType", "mathMistake").alias("num_errors"),
-        _any(F.col("eventType") == "solvedTask").alias("completed_dur_attempt"),
-        _count("eventType", "visitTask").alias("num_visits"),
-        F.when(first_step.isNull(), F.lit(None))
-        .when(first_mistake.isNull(), F.lit(True))
-        .otherwise(first_step < first_mistake)
-        .alias("validity_first_step"),
-        _count("eventType", "showHint").alias("num_hints"),
-        _count("mistake", "keypad").alias("num_keypad_errors"),
-        _count("mistake", "tap").alias("num_shaking_errors"),
-        _count("mistake", "drag").alias("num_snapping_errors"),
-        F.max("stars").alias("stars"),
-        _any(F.col("next_reset_reason") == "resetButton").alias("clicked_reset_button"),
-        _any(F.col("next_reset_reason") == "retryButton").alias("clicked_retry_button"),
+        K4, *[F.expr(e).alias(name) for name, e in ATTEMPT_AGGREGATES.items()]
     )
+    pause = F.expr(f"if(_pause_us < {GAP_US}, _pause_us / 1e6D, NULL)")
     return lanes.map(
-        lambda df: df.withColumn(
-            "pause_time", F.when(F.col("_pause_us") < GAP_US, F.col("_pause_us") / 1e6)
-        )
-        .drop("_pause_us")
+        lambda df: df.withColumn("pause_time", pause).drop("_pause_us")
         .withColumn("pause_time_ratio", F.try_divide("pause_time", "total_time"))
     ).resegment([*K2, *ATTEMPT_ORDER])
 
@@ -75,9 +66,7 @@ def number_attempts(attempts: Lanes) -> Lanes:
         K2, ATTEMPT_ORDER, Previous("_before", F.struct("attemptHlc"))
     ).map(
         lambda df: df.withColumn(
-            "_starts",
-            (~F.coalesce(F.col("_before.attemptHlc") == F.col("attemptHlc"), F.lit(False)))
-            .cast("long"),
+            "_starts", F.expr("if(_before.attemptHlc <=> attemptHlc, 0L, 1L)")
         ).drop("_before")
     )
     lanes = lanes.ordered(K2, ATTEMPT_ORDER, RunningSum("attempt_number", F.col("_starts")))
@@ -92,19 +81,18 @@ def flag_replays(attempts: Lanes) -> Lanes:
     "First completed" goes by attempt id, "after" goes by time; the two orders differ when
     clocks disagree. Without a completed attempt there is no replay.
     """
-    done = F.when(F.col("completed_dur_attempt"), F.struct(*ATTEMPT_ORDER))
+    done = F.expr(f"if(completed_dur_attempt, struct({', '.join(ATTEMPT_ORDER)}), NULL)")
     lanes = attempts.ordered(K2, ATTEMPT_ORDER, Whole("_done", done, F.min))
-    later = F.struct("start_time", "seq0") > F.struct("_done.start_time", "_done.seq0")
-    return lanes.map(
-        lambda df: df.withColumn(
-            "replay_attempt", F.coalesce(F.col("_done").isNotNull() & later, F.lit(False))
-        ).drop("_done")
-    )
+    later = F.expr("""coalesce(struct(start_time, seq0) > struct(_done.start_time, _done.seq0)
+        AND _done IS NOT NULL, false)""")
+    return lanes.map(lambda df: df.withColumn("replay_attempt", later).drop("_done"))
 
 
 def star_flags(df: DataFrame) -> DataFrame:
-    flags = {f"stars_{k}": F.coalesce(F.col("stars") == k, F.lit(False)) for k in (1, 2, 3)}
-    return df.withColumns({**flags, "stars_NA": F.col("stars").isNull()})
+    return df.selectExpr(
+        "*", *[f"coalesce(stars = {k}, false) AS stars_{k}" for k in (1, 2, 3)],
+        "stars IS NULL AS stars_NA",
+    )
 
 
 def attempt_lanes(attempt_events: Lanes) -> Lanes:

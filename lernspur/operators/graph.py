@@ -7,11 +7,11 @@ until nothing changes and store each round's new rows, never the whole graph aga
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..runtime import HOP_ROUNDS, join_lookup, materialize, setting
+from ..runtime import HOP_ROUNDS, join_lookup, materialize, rows_of, setting
 from ..schemas import K4, MISSING_NODE, MISSING_WEIGHT, STEP_WEIGHT, STUDENT
 from .paths import Paths, path_edges
 
@@ -27,31 +27,46 @@ def _weight() -> Column:
     return F.when(missing, MISSING_WEIGHT).otherwise(STEP_WEIGHT).cast("long")
 
 
-def transition_edges(steps: DataFrame, by_student: bool = False) -> DataFrame:
-    """Traversals per transition and the action that was first seen on it.
+EDGE_COLUMNS = ["prev", "new", "attempt_count", "math_trans_type", "weight", "to_goal"]
+# "First" goes through students in id order, then through their attempts in time order.
+FIRST_SEEN = f"struct({STUDENT}, started, attemptHlc, visitId, pos)"
 
-    "First" goes through students in id order, then through each student's attempts in
-    time order. Counts are combined on the map side, so a popular transition travels as
-    one row per map task.
-    """
-    keys = ["taskNumber", *([STUDENT] if by_student else []), "prev", "new"]
+
+def _edges(steps: DataFrame, *keys: str) -> DataFrame:
     return (
-        steps.groupBy(*keys)
+        steps.groupBy(*keys, "prev", "new")
         .agg(
             F.count(F.lit(1)).alias("attempt_count"),
-            F.min_by("action", F.struct(STUDENT, "started", "attemptHlc", "visitId", "pos"))
-            .alias("math_trans_type"),
+            F.expr(f"min(struct({FIRST_SEEN} AS at, action))").alias("first_seen"),
             F.max("to_goal").alias("to_goal"),
         )
-        .withColumn("weight", _weight())
+        .withColumns({"weight": _weight(), "math_trans_type": F.col("first_seen.action")})
     )
 
 
-def scoped_edges(steps: DataFrame) -> DataFrame:
-    """Edges of the task graphs and of every student's own graph, in one table."""
-    own = transition_edges(steps, by_student=True).withColumnRenamed(STUDENT, "scope")
-    whole = transition_edges(steps).withColumn("scope", F.lit(ALL_STUDENTS))
-    return own.unionByName(whole)
+def transition_edges(steps: DataFrame) -> DataFrame:
+    """Traversals per transition of a task and the action that was first seen on it.
+
+    Counts are combined on the map side, so a popular transition travels as one row per
+    map task.
+    """
+    return _edges(steps, "taskNumber").select("taskNumber", *EDGE_COLUMNS)
+
+
+def student_edges(steps: DataFrame) -> DataFrame:
+    """The same per student, in the student's own graph."""
+    return _edges(steps, "taskNumber", STUDENT).select(
+        "taskNumber", F.col(STUDENT).alias("scope"), *EDGE_COLUMNS, "first_seen")
+
+
+def merge_student_edges(own: DataFrame) -> DataFrame:
+    """Task edges from student edges, without going over the steps again."""
+    return own.groupBy("taskNumber", "prev", "new").agg(
+        F.sum("attempt_count").alias("attempt_count"),
+        F.min("first_seen")["action"].alias("math_trans_type"),
+        F.first("weight").alias("weight"),
+        F.max("to_goal").alias("to_goal"),
+    ).select("taskNumber", *EDGE_COLUMNS)
 
 
 def retract_edges(edges: DataFrame, removed: DataFrame) -> DataFrame:
@@ -71,70 +86,61 @@ def retract_edges(edges: DataFrame, removed: DataFrame) -> DataFrame:
     )
     kept = left.where("attempt_count > 0")
     for end in ("prev", "new"):
-        kept = join_lookup(kept, gone.withColumnRenamed("_gone", end), ["taskNumber", end], "left_anti")
+        kept = join_lookup(kept, gone.withColumnRenamed("_gone", end), ["taskNumber", end],
+                           "left_anti", rows_of(gone))
     return kept
 
 
-def _goals(tasks: DataFrame) -> DataFrame:
-    return tasks.select("taskNumber", F.col("goalState").alias("node"))
-
-
 # --- states that lead to the goal ---------------------------------------------------
 
 
-def leads_to_goal(edges: DataFrame, tasks: DataFrame, steps: DataFrame) -> DataFrame:
+def leads_to_goal(edges: DataFrame, steps: DataFrame) -> DataFrame:
     """All (scope, node) from which the goal can be reached within the scope's graph.
 
-    ``edges`` are ``scoped_edges`` and should be materialised. Paths that visit the goal
-    settle most states without a join. The rest is found backwards, one transition per
-    round; if a graph is so deep that this takes long, whole attempts are walked instead.
+    ``edges`` is the stored edge table of all scopes. Paths that visit the goal settle most
+    states without a join. The rest is found backwards, one transition per round; in a graph
+    so deep that this takes long, whole attempts are walked instead.
     """
-    spark = edges.sparkSession
     seeds = edges.where("to_goal").select(
         *SCOPE, F.explode(F.array("prev", "new")).alias("node")
     ).distinct()
-    found = [materialize(seeds)]
-    # Once its tail leads to the goal, an edge has nothing more to say.
-    open_edges = materialize(
-        join_lookup(edges.where(~F.col("to_goal")), found[0].withColumnRenamed("node", "prev"),
-                    [*SCOPE, "prev"], "left_anti").select(*SCOPE, "prev", "new")
-    )
-    frontier = found[0]
-    for _ in range(setting(spark, HOP_ROUNDS)):
-        heads = frontier.withColumnRenamed("node", "new")
-        frontier = materialize(
-            join_lookup(open_edges, heads, [*SCOPE, "new"], "left_semi")
-            .select(*SCOPE, F.col("prev").alias("node")).distinct()
-        )
-        if frontier.isEmpty():
-            return _union(found)
-        found.append(frontier)
+    frontier = materialize(seeds)
+    found, open_edges = [frontier], edges.where("NOT to_goal").select(*SCOPE, "prev", "new")
+    for round_ in range(setting(edges.sparkSession, HOP_ROUNDS)):
+        # An edge whose tail leads to the goal has nothing more to say.
+        size = rows_of(frontier)
         open_edges = join_lookup(
-            open_edges, frontier.withColumnRenamed("node", "prev"), [*SCOPE, "prev"], "left_anti"
-        )
-        if len(found) % 8 == 0:
+            open_edges, frontier.withColumnRenamed("node", "prev"), [*SCOPE, "prev"],
+            "left_anti", size)
+        if round_ % 8 == 0:
             open_edges = materialize(open_edges)
+        hits = join_lookup(
+            open_edges, frontier.withColumnRenamed("node", "new"), [*SCOPE, "new"],
+            "left_semi", size)
+        frontier = materialize(hits.select(*SCOPE, F.col("prev").alias("node")).distinct())
+        if rows_of(frontier) == 0:
+            return _union(found)
+        found.append(frontier)
     return _lead_by_attempts(materialize(_union(found)), steps)
 
 
 def _lead_by_attempts(found: DataFrame, steps: DataFrame) -> DataFrame:
     """As ``leads_to_goal``, a round going along whole attempts: if a state leads to the
     goal, so does every state before it in the same attempt, however far back."""
-    walks = steps.select(*K4, "pos", "prev", "new").withColumn(
+    walks = materialize(steps.select(*K4, "pos", "prev", "new").withColumn(
         "scope", F.explode(F.array(F.lit(ALL_STUDENTS), F.col(STUDENT)))
-    )
-    walks = materialize(walks)
+    ))
     while True:
         touched = join_lookup(
-            walks, found.withColumnRenamed("node", "new"), [*SCOPE, "new"], "left_semi"
-        )
+            walks, found.withColumnRenamed("node", "new"), [*SCOPE, "new"], "left_semi",
+            rows_of(found))
         last = materialize(touched.groupBy(*K4, "scope").agg(F.max("pos").alias("_last")))
         before = join_lookup(walks, last, [*K4, "scope"]).where(F.col("pos") <= F.col("_last"))
         more = materialize(
             before.select(*SCOPE, F.col("prev").alias("node")).distinct()
             .join(found, NODE, "left_anti")
         )
-        if more.isEmpty():
+        if rows_of(more) == 0:
             return found
         found = materialize(found.unionByName(more))
 
@@ -153,15 +159,14 @@ def dead_ends(edges: DataFrame, tasks: DataFrame, leading: DataFrame) -> DataFra
     ``leading`` is ``leads_to_goal``. A missing state is never a dead end, but ways may
     pass through it. In a student's own graph start and goal are never dead ends either.
     """
-    solved = leading.join(F.broadcast(_goals(tasks)), ["taskNumber", "node"], "left_semi")
-    solved = materialize(solved.select(*SCOPE).distinct())
+    tasks = materialize(tasks.select("taskNumber", "startState", "goalState"))
+    at_goal = join_lookup(leading, tasks, ["taskNumber"]).where("node = goalState")
+    solved = materialize(at_goal.select(*SCOPE).distinct())
     nodes = join_lookup(
         graph_nodes(edges).where(F.col("node") != MISSING_NODE), solved, SCOPE, "left_semi"
     ).join(leading, NODE, "left_anti")
-    ends = tasks.select("taskNumber", "startState", "goalState")
-    own = F.col("scope") != ALL_STUDENTS
-    at_ends = F.col("node").isin(F.col("startState"), F.col("goalState"))
-    return join_lookup(nodes, ends, ["taskNumber"]).where(~(own & at_ends)).select(*NODE)
+    own_end = f"scope != '{ALL_STUDENTS}' AND node IN (startState, goalState)"
+    return join_lookup(nodes, tasks, ["taskNumber"]).where(f"NOT ({own_end})").select(*NODE)
 
 
 # --- shortest solutions -------------------------------------------------------------
@@ -170,91 +175,73 @@ def dead_ends(edges: DataFrame, tasks: DataFrame, leading: DataFrame) -> DataFra
 def start_distances(edges: DataFrame, tasks: DataFrame) -> DataFrame:
     """Cheapest way from the start: (taskNumber, node) -> ``cost(weight, hops)``.
 
-    ``edges`` are whole-task ``transition_edges`` and should be materialised. Each round
-    extends the ways improved in the round before. Ways already as long as a known solution
-    are not extended, so distances are exact up to the goal's and absent beyond it.
+    ``edges`` is the stored edge table of whole tasks. Each round extends the ways improved
+    in the round before. Ways already as long as a known solution are not extended, so
+    distances are exact up to the goal's and absent beyond it.
     """
+    tasks = materialize(tasks.select("taskNumber", "startState", "goalState"))
+    n_tasks = rows_of(tasks)
     arcs = edges.select("taskNumber", F.col("prev").alias("node"), "new", "weight")
-    goals = _goals(tasks)
-    zero = F.struct(F.lit(0).cast("long").alias("weight"), F.lit(0).cast("long").alias("hops"))
-    heads = materialize(
-        edges.select("taskNumber", "prev").distinct()
-        .join(tasks.select("taskNumber", F.col("startState").alias("prev")), ["taskNumber", "prev"])
-    )
-    frontier = materialize(heads.select("taskNumber", F.col("prev").alias("node"), zero.alias("cost")))
-    known = [frontier]
-    while True:
-        best = _union(known).groupBy("taskNumber", "node").agg(F.min("cost").alias("_best"))
-        bound = best.join(goals, ["taskNumber", "node"]).select(
-            "taskNumber", F.col("_best.weight").alias("_bound"))
-        bound = materialize(bound)
-        reached = join_lookup(arcs, frontier, ["taskNumber", "node"]).select(
-            "taskNumber", F.col("new").alias("node"),
-            F.struct(
-                (F.col("cost.weight") + F.col("weight")).alias("weight"),
-                (F.col("cost.hops") + 1).alias("hops"),
-            ).alias("cost"),
-        )
-        reached = reached.groupBy("taskNumber", "node").agg(F.min("cost").alias("cost"))
-        reached = join_lookup(reached, bound, ["taskNumber"], "left").where(
-            F.col("_bound").isNull() | (F.col("cost.weight") <= F.col("_bound"))
-        ).drop("_bound")
+    starts = join_lookup(edges.select("taskNumber", "prev").distinct(), tasks, ["taskNumber"])
+    frontier = materialize(starts.where("prev = startState").selectExpr(
+        "taskNumber", "prev AS node", "named_struct('weight', 0L, 'hops', 0L) AS cost"))
+
+    def cheapest(costs):
+        return costs.groupBy("taskNumber", "node").agg(F.min("cost").alias("cost"))
+
+    known = frontier
+    round_ = 0
+    while rows_of(frontier) > 0:
+        round_ += 1
+        best = cheapest(known).withColumnRenamed("cost", "_best")
+        bound = join_lookup(best, tasks, ["taskNumber"], rows=n_tasks).where(
+            "node = goalState").selectExpr("taskNumber", "_best.weight AS _bound")
+        reached = cheapest(join_lookup(arcs, frontier, ["taskNumber", "node"]).selectExpr(
+            "taskNumber", "new AS node",
+            "named_struct('weight', cost.weight + weight, 'hops', cost.hops + 1) AS cost"))
         frontier = materialize(
-            reached.join(best, ["taskNumber", "node"], "left")
-            .where(F.col("_best").isNull() | (F.col("cost") < F.col("_best")))
-            .drop("_best")
+            join_lookup(reached, bound, ["taskNumber"], "left", n_tasks)
+            .join(best, ["taskNumber", "node"], "left")
+            .where("(_bound IS NULL OR cost.weight <= _bound) AND (_best IS NULL OR cost < _best)")
+            .select("taskNumber", "node", "cost")
         )
-        if frontier.isEmpty():
-            return materialize(
-                _union(known).groupBy("taskNumber", "node").agg(F.min("cost").alias("cost")))
-        known.append(frontier)
-        if len(known) % 8 == 0:
-            known = [materialize(
-                _union(known).groupBy("taskNumber", "node").agg(F.min("cost").alias("cost")))]
+        known = known.unionByName(frontier)
+        if round_ % 8 == 0:
+            known = materialize(cheapest(known))
+    return materialize(cheapest(known))
 
 
 def optimal_lengths(distances: DataFrame, tasks: DataFrame) -> DataFrame:
     """Per task: weight and number of transitions of a cheapest solution, null if unsolved."""
-    goal = distances.join(F.broadcast(_goals(tasks)), ["taskNumber", "node"])
-    return tasks.select("taskNumber").join(goal, "taskNumber", "left").select(
-        "taskNumber",
-        F.col("cost.weight").alias("optimal_weight"),
-        F.col("cost.hops").alias("optimal_length"),
-        F.col("cost").isNotNull().alias("problem_solved"),
+    goals = tasks.select("taskNumber", F.col("goalState").alias("node"))
+    return goals.join(distances, ["taskNumber", "node"], "left").selectExpr(
+        "taskNumber", "cost.weight AS optimal_weight", "cost.hops AS optimal_length",
+        "cost IS NOT NULL AS problem_solved",
     )
 
 
 def best_path_edges(edges: DataFrame, distances: DataFrame, tasks: DataFrame) -> DataFrame:
     """Edges lying on any cheapest solution, found backwards from the goal.
 
-    Only tight edges, which lose no distance, can lie on one.
+    Only tight edges, which lose no distance, can lie on one; they form no cycle.
     """
     def cost(name, end):
-        return distances.select("taskNumber", F.col("node").alias(end), F.col("cost.weight").alias(name))
+        return distances.selectExpr("taskNumber", f"node AS {end}", f"cost.weight AS {name}")
 
+    size = rows_of(distances)
+    tight = join_lookup(edges, cost("_from", "prev"), ["taskNumber", "prev"], rows=size)
     tight = materialize(
-        join_lookup(
-            join_lookup(edges, cost("_from", "prev"), ["taskNumber", "prev"]),
-            cost("_to", "new"), ["taskNumber", "new"],
-        ).where(F.col("_from") + F.col("weight") == F.col("_to"))
-        .select("taskNumber", "prev", "new", "attempt_count", "math_trans_type", "weight")
+        join_lookup(tight, cost("_to", "new"), ["taskNumber", "new"], rows=size)
+        .where("_from + weight = _to").drop("_from", "_to", "to_goal")
     )
-    frontier = materialize(
-        distances.join(F.broadcast(_goals(tasks)), ["taskNumber", "node"]).select("taskNumber", "node"))
-    seen, found = frontier, []
+    tasks = materialize(tasks.select("taskNumber", F.col("goalState").alias("new")))
+    heads, size, found = tasks, rows_of(tasks), []
     while True:
-        heads = frontier.withColumnRenamed("node", "new")
-        step = materialize(join_lookup(tight, heads, ["taskNumber", "new"], "left_semi"))
-        if step.isEmpty():
-            break
+        step = materialize(join_lookup(tight, heads, ["taskNumber", "new"], "left_semi", size))
+        if found and rows_of(step) == 0:
+            return materialize(_union(found).distinct())
         found.append(step)
-        frontier = materialize(
-            step.select("taskNumber", F.col("prev").alias("node")).distinct()
-            .join(seen, ["taskNumber", "node"], "left_anti"))
-        seen = seen.unionByName(frontier)
-    if not found:
-        return tight.limit(0)
-    return materialize(_union(found).distinct())
+        heads, size = step.selectExpr("taskNumber", "prev AS new").distinct(), rows_of(step)
 
 
 def best_path_nodes(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -267,17 +254,17 @@ def best_path_nodes(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
 def optimal_paths(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
     """Every cheapest solution of every task, as an array of states."""
     arcs = best_edges.select("taskNumber", F.col("prev").alias("_last"), "new")
-    goals = tasks.select("taskNumber", "goalState")
+    goals = materialize(tasks.select("taskNumber", "goalState"))
     starts = tasks.select("taskNumber", F.col("startState").alias("_last")).join(
         arcs.select("taskNumber", "_last").distinct(), ["taskNumber", "_last"], "left_semi")
     walks = materialize(starts.withColumn("path", F.array("_last")))
     done = []
-    while not walks.isEmpty():
+    while rows_of(walks) > 0:
         grown = walks.join(arcs, ["taskNumber", "_last"]).select(
             "taskNumber", F.col("new").alias("_last"), F.concat("path", F.array("new")).alias("path"))
         grown = materialize(join_lookup(grown, goals, ["taskNumber"]))
         done.append(grown.where(F.col("_last") == F.col("goalState")).select("taskNumber", "path"))
-        walks = grown.where(F.col("_last") != F.col("goalState")).drop("goalState")
+        walks = materialize(grown.where(F.col("_last") != F.col("goalState")).drop("goalState"))
     if not done:
         return walks.select("taskNumber", "path")
     return _union(done)
@@ -328,45 +315,44 @@ class ProblemGraphs:
     def __init__(self, paths: Paths):
         self.paths = paths
         self.tasks = paths.tasks
-        self._made: dict[str, DataFrame] = {}
 
-    def _once(self, name, make):
-        if name not in self._made:
-            self._made[name] = make()
-        return self._made[name]
+    @cached_property
+    def steps(self) -> DataFrame:
+        return path_edges(self.paths)
 
-    @property
-    def steps(self):
-        return self._once("steps", lambda: materialize(path_edges(self.paths)))
+    @cached_property
+    def own_edges(self) -> DataFrame:
+        return materialize(student_edges(self.steps))
 
-    @property
-    def scoped(self):
-        return self._once("scoped", lambda: materialize(scoped_edges(self.steps)))
+    @cached_property
+    def edges(self) -> DataFrame:
+        return materialize(merge_student_edges(self.own_edges))
 
-    @property
-    def edges(self):
-        return self._once("edges", lambda: materialize(transition_edges(self.steps)))
+    @cached_property
+    def scoped(self) -> DataFrame:
+        whole = self.edges.withColumn("scope", F.lit(ALL_STUDENTS))
+        return self.own_edges.drop("first_seen").unionByName(whole)
 
-    @property
-    def leading(self):
-        return self._once("leading", lambda: leads_to_goal(self.scoped, self.tasks, self.steps))
+    @cached_property
+    def leading(self) -> DataFrame:
+        return leads_to_goal(self.scoped, self.steps)
 
-    @property
-    def dead(self):
-        return self._once("dead", lambda: materialize(dead_ends(self.scoped, self.tasks, self.leading)))
+    @cached_property
+    def dead(self) -> DataFrame:
+        return materialize(dead_ends(self.scoped, self.tasks, self.leading))
 
-    @property
-    def distances(self):
-        return self._once("distances", lambda: start_distances(self.edges, self.tasks))
+    @cached_property
+    def distances(self) -> DataFrame:
+        return start_distances(self.edges, self.tasks)
 
-    @property
-    def lengths(self):
-        return self._once("lengths", lambda: materialize(optimal_lengths(self.distances, self.tasks)))
+    @cached_property
+    def lengths(self) -> DataFrame:
+        return materialize(optimal_lengths(self.distances, self.tasks))
 
-    @property
-    def best_edges(self):
-        return self._once("best", lambda: best_path_edges(self.edges, self.distances, self.tasks))
+    @cached_property
+    def best_edges(self) -> DataFrame:
+        return best_path_edges(self.edges, self.distances, self.tasks)
 
-    @property
-    def best_nodes(self):
-        return self._once("best_nodes", lambda: best_path_nodes(self.best_edges, self.tasks))
+    @cached_property
+    def best_nodes(self) -> DataFrame:
+        return best_path_nodes(self.best_edges, self.tasks)

@@ -9,40 +9,44 @@ from .attempts import ATTEMPT_ORDER
 from .ordered import Lanes, RunningSum, Whole
 
 
-def _total(column: str) -> Column:
-    """Sum that is zero, not null, when every value is null."""
-    return F.coalesce(F.sum(F.col(column)), F.lit(0))
+def _aggregates(expressions: dict[str, str]) -> list[Column]:
+    return [F.expr(e).alias(name) for name, e in expressions.items()]
 
 
-def _flags(column: str) -> Column:
-    return F.count_if(F.coalesce(F.col(column), F.lit(False)))
+def _total(column: str) -> str:
+    """Sum that is zero, not null, when every value is null."""
+    return f"coalesce(sum({column}), 0)"
+
+
+STUDENT_PROBLEM_AGGREGATES = {
+    "studentRef": f"""min_by(studentRef, struct({', '.join(ATTEMPT_ORDER)}))
+        FILTER (WHERE studentRef IS NOT NULL)""",
+    "num_attempts": "max(attempt_number)",
+    "num_replays": "count_if(replay_attempt)",
+    "num_clicked_retry_button": "count_if(clicked_retry_button)",
+    "num_clicked_reset_button": "count_if(clicked_reset_button)",
+    "problem_completed": "count_if(completed_dur_attempt) > 0",
+    "num_completed_attempts": "count_if(completed_dur_attempt)",
+    "num_errors": _total("num_errors"),
+    "num_keypad_errors": _total("num_keypad_errors"),
+    "num_shaking_errors": _total("num_shaking_errors"),
+    "num_snapping_errors": _total("num_snapping_errors"),
+    "num_hints": _total("num_hints"),
+    "total_time_spent": "coalesce(sum(total_time), 0D)",
+    "avg_time_spent": "avg(total_time)",
+    "avg_pause_time": "avg(pause_time)",
+    "avg_pause_time_ratio": "avg(pause_time_ratio)",
+    "num_three_star": "count_if(stars_3)",
+    "num_two_star": "count_if(stars_2)",
+    "num_one_star": "count_if(stars_1)",
+    "num_incomplete": "count_if(stars_NA)",
+    "avg_stars": "avg(stars)",
+}
 
 
 def student_problem_lanes(attempts: Lanes) -> Lanes:
     """Per student and task. The plain lane is still hashed by student: no shuffle."""
-    named = F.when(F.col("studentRef").isNotNull(), F.struct(*ATTEMPT_ORDER))
-    return attempts.aggregate(
-        K2,
-        F.min_by("studentRef", named).alias("studentRef"),
-        F.max("attempt_number").alias("num_attempts"),
-        _flags("replay_attempt").alias("num_replays"),
-        _flags("clicked_retry_button").alias("num_clicked_retry_button"),
-        _flags("clicked_reset_button").alias("num_clicked_reset_button"),
-        F.coalesce(F.bool_or("completed_dur_attempt"), F.lit(False)).alias("problem_completed"),
-        _flags("completed_dur_attempt").alias("num_completed_attempts"),
-        *[_total(c).alias(c) for c in (
-            "num_errors", "num_keypad_errors", "num_shaking_errors", "num_snapping_errors",
-            "num_hints")],
-        _total("total_time").cast("double").alias("total_time_spent"),
-        F.avg("total_time").alias("avg_time_spent"),
-        F.avg("pause_time").alias("avg_pause_time"),
-        F.avg("pause_time_ratio").alias("avg_pause_time_ratio"),
-        _flags("stars_3").alias("num_three_star"),
-        _flags("stars_2").alias("num_two_star"),
-        _flags("stars_1").alias("num_one_star"),
-        _flags("stars_NA").alias("num_incomplete"),
-        F.avg("stars").alias("avg_stars"),
-    )
+    return attempts.aggregate(K2, *_aggregates(STUDENT_PROBLEM_AGGREGATES))
 
 
 def student_problem(attempts: Lanes) -> DataFrame:
@@ -51,7 +55,6 @@ def student_problem(attempts: Lanes) -> DataFrame:
 
 def student_level(student_problem: DataFrame) -> DataFrame:
     """Per student. Input rows are unique per (student, task), so tasks are just counted."""
-    named = F.when(F.col("studentRef").isNotNull(), F.col("taskNumber"))
     totals = {
         "total_attempts": "num_attempts",
         "total_replays": "num_replays",
@@ -71,15 +74,15 @@ def student_level(student_problem: DataFrame) -> DataFrame:
     }
     return (
         student_problem.groupBy(STUDENT)
-        .agg(
-            F.min_by("studentRef", named).alias("studentRef"),
-            F.count("taskNumber").alias("total_problems"),
-            _flags("problem_completed").alias("total_completed_problems"),
-            *[_total(c).alias(name) for name, c in totals.items()],
-            F.avg("num_clicked_reset_button").alias("avg_click_reset"),
-            F.avg("num_clicked_retry_button").alias("avg_click_retry"),
-            F.avg("avg_stars").alias("avg_stars"),
-        )
+        .agg(*_aggregates({
+            "studentRef": "min_by(studentRef, taskNumber) FILTER (WHERE studentRef IS NOT NULL)",
+            "total_problems": "count(taskNumber)",
+            "total_completed_problems": "count_if(problem_completed)",
+            **{name: _total(c) for name, c in totals.items()},
+            "avg_click_reset": "avg(num_clicked_reset_button)",
+            "avg_click_retry": "avg(num_clicked_retry_button)",
+            "avg_stars": "avg(avg_stars)",
+        }))
         .withColumn("total_time_spent_mins", F.col("total_time_spent") / 60)
     )
 
@@ -106,11 +109,11 @@ def problem_level(student_problem: DataFrame) -> DataFrame:
     }
     return (
         student_problem.groupBy("taskNumber")
-        .agg(
-            F.count(STUDENT).alias("total_students"),
-            _flags("problem_completed").alias("total_completed"),
-            *[F.avg(c).alias(name) for name, c in means.items()],
-        )
+        .agg(*_aggregates({
+            "total_students": f"count({STUDENT})",
+            "total_completed": "count_if(problem_completed)",
+            **{name: f"avg({c})" for name, c in means.items()},
+        }))
         .withColumn("avg_time_spent_mins", F.col("avg_time_spent") / 60)
     )
 

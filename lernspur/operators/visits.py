@@ -8,21 +8,21 @@ from ..schemas import ACTION_EVENTS, EVENT_ORDER, K2, K3, K4, STUDENT
 from .ordered import First, Following, Lanes, Previous, Whole
 
 
+_ACTIONS = ", ".join(f"'{e}'" for e in ACTION_EVENTS)
+
+
 def is_action() -> Column:
-    return F.coalesce(F.col("eventType").isin(*ACTION_EVENTS), F.lit(False))
+    return F.expr(f"coalesce(eventType IN ({_ACTIONS}), false)")
 
 
-def keys_present(keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+def keys_present(keys: list[str]) -> str:
+    return " AND ".join(f"{k} IS NOT NULL" for k in keys)
 
 
 def event_lanes(events: DataFrame) -> Lanes:
     """Partition the log by student once; every later step reuses that exchange."""
     return Lanes.split(
-        events.where(F.col("taskNumber").isNotNull()), STUDENT, [STUDENT, *EVENT_ORDER]
+        events.where("taskNumber IS NOT NULL"), STUDENT, [STUDENT, *EVENT_ORDER]
     )
 
 
@@ -41,17 +41,12 @@ def normalize_visits(lanes: Lanes) -> Lanes:
         Previous("_before", F.struct("rawVisitId")),
         First("_first", F.col("rawVisitId")),
     )
-    returns = (
-        F.col("_before").isNotNull()
-        & ~F.col("_before.rawVisitId").eqNullSafe(F.col("rawVisitId"))
-        & F.col("_seen").isNotNull()
+    returns = F.expr(
+        "_before IS NOT NULL AND NOT _before.rawVisitId <=> rawVisitId AND _seen IS NOT NULL"
     )
     lanes = lanes.ordered(K3, EVENT_ORDER, Whole("_interleaved", returns, F.max))
-    visit = F.when(
-        keys_present(K3),
-        F.when(F.col("_first").isNull() | F.col("_interleaved"), F.col("rawVisitId"))
-        .otherwise(F.col("_first")),
-    )
+    visit = F.expr(f"""CASE WHEN NOT ({keys_present(K3)}) THEN NULL
+        WHEN _first IS NULL OR _interleaved THEN rawVisitId ELSE _first END""")
     return lanes.map(
         lambda df: df.withColumn("visitId", visit)
         .drop("_seen", "_before", "_first", "_interleaved")
@@ -64,19 +59,14 @@ def reassign_resets(lanes: Lanes) -> Lanes:
     Game-screen visits are dropped first, so they never count as the next event.
     ``next_reset_reason`` is the reason of the next event of the same student and task.
     """
-    lanes = lanes.map(
-        lambda df: df.where(~F.col("eventType").eqNullSafe(F.lit("visitGameScreen")))
-    ).ordered(
+    lanes = lanes.map(lambda df: df.where("NOT eventType <=> 'visitGameScreen'")).ordered(
         K2, EVENT_ORDER,
         Following("_next_attempt", F.col("attemptHlc")),
         Following("next_reset_reason", F.col("reason")),
     )
-    moved = F.when(F.col("eventType") == "resetTask", F.col("_next_attempt")).otherwise(
-        F.col("attemptHlc")
-    )
+    moved = F.expr("if(eventType = 'resetTask', _next_attempt, attemptHlc)")
     return lanes.map(
-        lambda df: df.withColumn("rawAttemptHlc", F.col("attemptHlc"))
-        .withColumn("attemptHlc", moved)
+        lambda df: df.withColumns({"rawAttemptHlc": F.col("attemptHlc"), "attemptHlc": moved})
         .drop("_next_attempt")
     )
 
@@ -98,7 +88,7 @@ def attempt_events(normalized: Lanes) -> Lanes:
     lanes = drop_empty_visits(
         reassign_resets(normalized), Previous("_before", F.col("timestamp"))
     )
-    delta = F.unix_micros("timestamp") - F.unix_micros("_before")
+    delta = F.expr("unix_micros(timestamp) - unix_micros(_before)")
     return lanes.map(lambda df: df.withColumn("delta_us", delta).drop("_before")).store()
 
 

@@ -212,8 +212,8 @@ def transition_edges(spark, folder):
 
 
 def student_edges(spark, folder):
-    edges = gr.transition_edges(pt.path_edges(_paths(spark, folder)), by_student=True)
-    return edges.select("taskNumber", STUDENT, *EDGE)
+    edges = gr.student_edges(pt.path_edges(_paths(spark, folder)))
+    return edges.select("taskNumber", F.col("scope").alias(STUDENT), *EDGE)
 
 
 def retract_edges(spark, folder):

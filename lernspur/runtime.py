@@ -46,17 +46,30 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_lookup(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def rows_of(stored: DataFrame) -> int:
+    """Row count of a materialised table; read from the file footers, once per table."""
+    known = stored.__dict__.get("_lernspur_rows")
+    if known is None:
+        known = stored.count()
+        stored.__dict__["_lernspur_rows"] = known
+    return known
+
+
+def join_lookup(
+    big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", rows: int | None = None
+) -> DataFrame:
     """Join a fact table to a lookup table whose keys may be very unevenly used.
 
-    ``small`` should be materialised, as it is counted first. Up to the row bound it is
-    broadcast; beyond it every lookup row is copied once per salt and the fact rows of
-    one key are spread over the salts. Only the lookup side is copied, so ``how`` may be
-    inner, left, left_semi or left_anti.
+    ``rows`` is an upper bound for the rows of ``small``; without it ``small`` is counted,
+    and should then be materialised. Up to the broadcast bound it is broadcast; beyond it
+    every lookup row is copied once per salt and the fact rows of one key are spread over
+    the salts. Only the lookup side is copied, so ``how`` may be inner, left, left_semi or
+    left_anti.
     """
     spark = big.sparkSession
-    bound = setting(spark, BROADCAST_ROWS)
-    if small.limit(bound + 1).count() <= bound:
+    if rows is None:
+        rows = rows_of(small)
+    if rows <= setting(spark, BROADCAST_ROWS):
         return big.join(F.broadcast(small), keys, how)
     salts = setting(spark, SALTS)
     salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")

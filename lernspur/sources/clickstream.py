@@ -8,7 +8,7 @@ user's events are cut into attempts of 8 and tasks of 24 events, and the number
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.ordered import Lanes, LastSeen, Previous, RunningSum, SEGMENT
 from ..schemas import EVENT_ORDER, K4, STUDENT
@@ -25,99 +25,69 @@ LOG_COLUMNS = [
 ]
 
 
-def _pad(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
-
-
-def _pick(k: Column, *steps) -> Column:
-    """``_pick(k, 60, "a", 85, "b", "c")``: a below 60, b below 85, else c."""
-    *pairs, rest = steps
-    out = None
-    for bound, value in zip(pairs[::2], pairs[1::2]):
-        out = F.when(k < bound, value) if out is None else out.when(k < bound, value)
-    return out.otherwise(rest)
-
-
 def clickstream_lanes(events: DataFrame) -> Lanes:
-    k = F.get_json_object("props", "$.k").cast("int")
-    base = events.select(
-        F.col("event_id").alias("seq"), F.col("ts"), F.col("user_id"), F.col("event_type"),
-        _pad("u", F.col("user_id"), 6).alias(STUDENT),
-        k.alias("k"),
-        F.expr(f"(unix_micros(cast(ts AS timestamp)) - {EPOCH_US}) div {TIME_DIVISOR}").alias("_us"),
-    ).withColumn("timestamp", F.timestamp_micros(F.col("_us") + EPOCH_US))
+    base = events.selectExpr(
+        "event_id AS seq", "user_id", "event_type",
+        f"concat('u', lpad(cast(user_id AS string), 6, '0')) AS {STUDENT}",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        f"timestamp_micros({EPOCH_US} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_US})"
+        f" div {TIME_DIVISOR}) AS timestamp",
+    )
     lanes = Lanes.split(base, STUDENT, [STUDENT, *EVENT_ORDER])
     lanes = lanes.ordered([STUDENT], EVENT_ORDER, RunningSum("_row", F.lit(1).cast("long")))
-    lanes = lanes.map(_positions)
-    is_step = F.col("_e0") == "mathStep"
-    lanes = lanes.ordered(
+    lanes = lanes.map(_positions).ordered(
         K4, EVENT_ORDER,
-        RunningSum("_steps", is_step.cast("long")),
+        RunningSum("_steps", F.expr("if(_e0 = 'mathStep', 1L, 0L)")),
         LastSeen("_state", F.col("newState")),
-    ).map(_late_solutions)
-    # ``_state`` includes the row itself; the state before it is one row back.
-    return _old_states(lanes).map(
+    )
+    # ``_state`` includes the row's own state; the one before it is a row back.
+    lanes = lanes.ordered(K4, EVENT_ORDER, Previous("_prior", F.col("_state"))).map(_details)
+    return lanes.map(
         lambda df: df.select(*LOG_COLUMNS, *[c for c in df.columns if c == SEGMENT])
     ).store()
 
 
 def _positions(df: DataFrame) -> DataFrame:
-    k, user = F.col("k"), F.col("user_id")
-    rn = F.col("_row") - 1
-    attempt = F.expr(f"(_row - 1) div {EVENTS_PER_ATTEMPT}")
-    block = F.expr(f"(_row - 1) div {EVENTS_PER_TASK}")
-    kind = (
-        F.when(rn % EVENTS_PER_TASK == 0, "visitTask")
-        .when(F.col("event_type").isin("click", "purchase"), "mathStep")
-        .when(F.col("event_type") == "error", _pick(k, 60, "mathMistake", 85, "undo", "redo"))
-        .when(F.col("event_type") == "view",
-              _pick(k, 50, "showHint", 80, "hideHint", "visitGameScreen"))
-        .otherwise(_pick(k, 20, "visitTask", 60, "resetTask", "solvedTask"))
-    )
-    suffix = (
-        F.when(k % 10 == 0, "b")
-        .when((rn % EVENTS_PER_ATTEMPT >= 5) & (attempt % 3 == 1), "c")
-        .otherwise("")
-    )
-    return df.withColumns({
-        "studentRef": F.when(k % 7 != 0, F.concat(F.lit("ref"), user.cast("string"))),
-        "taskNumber": (1 + (user + block) % TASKS).cast("int"),
-        "attemptHlc": F.when(
-            k != 97, _pad("a", F.when(user % 5 == 0, 9999 - attempt).otherwise(attempt), 4)
-        ),
-        "visitId": F.concat(_pad("v", attempt, 4), suffix),
-        "_e0": kind,
-    }).withColumn(
-        "newState",
-        F.when(F.col("_e0") == "mathStep", F.concat_ws(
-            "", F.lit("n"), (k % 20).cast("string"), F.lit("_"), (user % 7).cast("string"))),
+    return df.selectExpr(
+        *[c for c in df.columns if c not in ("event_type", "_row")],
+        f"(_row - 1) % {EVENTS_PER_ATTEMPT} AS _place",
+        f"(_row - 1) div {EVENTS_PER_ATTEMPT} AS _attempt",
+        f"cast(1 + (user_id + (_row - 1) div {EVENTS_PER_TASK}) % {TASKS} AS int) AS taskNumber",
+        f"""CASE WHEN (_row - 1) % {EVENTS_PER_TASK} = 0 THEN 'visitTask'
+            WHEN event_type IN ('click', 'purchase') THEN 'mathStep'
+            WHEN event_type = 'error' AND k < 60 THEN 'mathMistake'
+            WHEN event_type = 'error' AND k < 85 THEN 'undo'
+            WHEN event_type = 'error' THEN 'redo'
+            WHEN event_type = 'view' AND k < 50 THEN 'showHint'
+            WHEN event_type = 'view' AND k < 80 THEN 'hideHint'
+            WHEN event_type = 'view' THEN 'visitGameScreen'
+            WHEN k < 20 THEN 'visitTask' WHEN k < 60 THEN 'resetTask'
+            ELSE 'solvedTask' END AS _e0""",
+    ).selectExpr(
+        "*",
+        "if(k % 7 != 0, concat('ref', user_id), NULL) AS studentRef",
+        """if(k != 97, concat('a', lpad(cast(if(user_id % 5 = 0, 9999 - _attempt, _attempt)
+            AS string), 4, '0')), NULL) AS attemptHlc""",
+        """concat('v', lpad(cast(_attempt AS string), 4, '0'), CASE WHEN k % 10 = 0 THEN 'b'
+            WHEN _place >= 5 AND _attempt % 3 = 1 THEN 'c' ELSE '' END) AS visitId""",
+        "if(_e0 = 'mathStep', concat('n', k % 20, '_', user_id % 7), NULL) AS newState",
     )
 
 
-def _late_solutions(df: DataFrame) -> DataFrame:
+def _details(df: DataFrame) -> DataFrame:
     """A solution before the task's minimum number of steps is read as a hint."""
-    k, kind = F.col("k"), F.col("eventType")
-    early = (F.col("_e0") == "solvedTask") & (F.col("_steps") < 1 + F.col("taskNumber") % 3)
-    return df.withColumn("eventType", F.when(early, "showHint").otherwise(F.col("_e0"))).withColumns({
-        "mistake": F.when(
-            kind == "mathMistake",
-            F.when(k % 3 == 0, "keypad").when(k % 3 == 1, "tap").otherwise("drag")),
-        "reason": F.when(
-            kind == "resetTask", _pick(k, 35, "resetButton", 45, "retryButton", 55, "autoReset", None)),
-        "stars": F.when(kind == "solvedTask", (1 + k % 3).cast("int")),
-        "actionName": F.when(kind == "mathStep", F.concat(F.lit("op"), (k % 4).cast("string"))),
-    })
-
-
-def _old_states(lanes: Lanes) -> Lanes:
-    lanes = lanes.ordered(K4, EVENT_ORDER, Previous("_prior", F.col("_state")))
-    k = F.col("k")
-    return lanes.map(lambda df: df.withColumn(
-        "oldState",
-        F.when(F.col("_e0") == "mathStep",
-               F.when(k % 25 == 24, F.concat(F.lit("m"), (k % 3).cast("string")))
-               .otherwise(F.coalesce(F.col("_prior"), F.lit("S")))),
-    ))
+    return df.selectExpr(
+        "*",
+        """if(_e0 = 'solvedTask' AND _steps < 1 + taskNumber % 3, 'showHint', _e0)
+            AS eventType""",
+        """if(_e0 = 'mathStep', if(k % 25 = 24, concat('m', k % 3), coalesce(_prior, 'S')), NULL)
+            AS oldState""",
+        """if(_e0 = 'mathMistake', CASE k % 3 WHEN 0 THEN 'keypad' WHEN 1 THEN 'tap'
+            ELSE 'drag' END, NULL) AS mistake""",
+        """CASE WHEN _e0 != 'resetTask' THEN NULL WHEN k < 35 THEN 'resetButton'
+            WHEN k < 45 THEN 'retryButton' WHEN k < 55 THEN 'autoReset' END AS reason""",
+        "if(_e0 = 'mathStep', concat('op', k % 4), NULL) AS actionName",
+    ).selectExpr("*", "if(eventType = 'solvedTask', cast(1 + k % 3 AS int), NULL) AS stars")
 
 
 def clickstream_tasks(spark: SparkSession) -> DataFrame:

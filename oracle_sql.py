@@ -261,17 +261,17 @@ cte("arcs", """
 SELECT taskNumber, '' AS scope, prev, new FROM edges
 UNION ALL SELECT taskNumber, studentSessionId, prev, new FROM own_edges""", "edges", "own_edges")
 cte("nodes", "SELECT taskNumber, scope, prev AS node FROM arcs UNION SELECT taskNumber, scope, new FROM arcs", "arcs")
-cte("leading", """
+cte("leads", """
 SELECT taskNumber, scope, node FROM nodes WHERE node = 'G'
 UNION
-SELECT a.taskNumber, a.scope, a.prev FROM leading l JOIN arcs a
+SELECT a.taskNumber, a.scope, a.prev FROM leads l JOIN arcs a
   ON a.taskNumber = l.taskNumber AND a.scope = l.scope AND a.new = l.node""", "nodes", "arcs")
 cte("dead", """
 SELECT n.* FROM nodes n
 WHERE node <> 'missing_node' AND NOT (scope <> '' AND node IN ('S', 'G'))
-  AND EXISTS (SELECT 1 FROM leading l WHERE l.taskNumber = n.taskNumber AND l.scope = n.scope)
-  AND NOT EXISTS (SELECT 1 FROM leading l WHERE l.taskNumber = n.taskNumber AND l.scope = n.scope AND l.node = n.node)""",
-    "nodes", "leading")
+  AND EXISTS (SELECT 1 FROM leads l WHERE l.taskNumber = n.taskNumber AND l.scope = n.scope)
+  AND NOT EXISTS (SELECT 1 FROM leads l WHERE l.taskNumber = n.taskNumber AND l.scope = n.scope AND l.node = n.node)""",
+    "nodes", "leads")
 
 # Ways from the start of at most eight transitions; enough whenever a cheapest solution is
 # shorter than that.
@@ -371,7 +371,7 @@ SELECT seq, unnest(json_keys(rec)) AS key, unnest(generate_series(0, len(json_ke
 FROM (SELECT seq, json_merge_patch('{{}}', to_json({{{', '.join(f"'{c}': {c}" for c in LOG_KEYS)}}})) AS rec FROM ev)""", "ev")
 
 TEXT_FORMS = """CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
-  WHEN 1 THEN strftime(ts, '%m/%d/%Y %H:%M:%S') WHEN 2 THEN CAST(epoch_ms(ts) AS VARCHAR)
+  WHEN 1 THEN strftime(ts, '%m/%d/%Y %H:%M:%S') WHEN 2 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
   ELSE strftime(ts, '%b %-d, %Y %H:%M:%S') END"""
 
 
