@@ -18,6 +18,7 @@ def classify_attempts(graphs: ProblemGraphs) -> DataFrame:
     Solved attempts are optimal or not by length. Others are dead ends if they touch a
     dead-end state, else incomplete. Attempts with missing states get no class.
     """
+    graphs.prepare()
     outcomes = join_lookup(
         join_lookup(path_outcomes(graphs.paths), graphs.tasks, ["taskNumber"]),
         graphs.lengths, ["taskNumber"],

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property, reduce
 
+from pyspark import InheritableThread
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import HOP_ROUNDS, join_lookup, materialize, rows_of, setting
@@ -159,7 +160,6 @@ def dead_ends(edges: DataFrame, tasks: DataFrame, leading: DataFrame) -> DataFra
     ``leading`` is ``leads_to_goal``. A missing state is never a dead end, but ways may
     pass through it. In a student's own graph start and goal are never dead ends either.
     """
-    tasks = materialize(tasks.select("taskNumber", "startState", "goalState"))
     at_goal = join_lookup(leading, tasks, ["taskNumber"]).where("node = goalState")
     solved = materialize(at_goal.select(*SCOPE).distinct())
     nodes = join_lookup(
@@ -179,7 +179,6 @@ def start_distances(edges: DataFrame, tasks: DataFrame) -> DataFrame:
     in the round before. Ways already as long as a known solution are not extended, so
     distances are exact up to the goal's and absent beyond it.
     """
-    tasks = materialize(tasks.select("taskNumber", "startState", "goalState"))
     n_tasks = rows_of(tasks)
     arcs = edges.select("taskNumber", F.col("prev").alias("node"), "new", "weight")
     starts = join_lookup(edges.select("taskNumber", "prev").distinct(), tasks, ["taskNumber"])
@@ -234,8 +233,8 @@ def best_path_edges(edges: DataFrame, distances: DataFrame, tasks: DataFrame) ->
         join_lookup(tight, cost("_to", "new"), ["taskNumber", "new"], rows=size)
         .where("_from + weight = _to").drop("_from", "_to", "to_goal")
     )
-    tasks = materialize(tasks.select("taskNumber", F.col("goalState").alias("new")))
-    heads, size, found = tasks, rows_of(tasks), []
+    heads, size = tasks.select("taskNumber", F.col("goalState").alias("new")), rows_of(tasks)
+    found = []
     while True:
         step = materialize(join_lookup(tight, heads, ["taskNumber", "new"], "left_semi", size))
         if found and rows_of(step) == 0:
@@ -254,7 +253,7 @@ def best_path_nodes(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
 def optimal_paths(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
     """Every cheapest solution of every task, as an array of states."""
     arcs = best_edges.select("taskNumber", F.col("prev").alias("_last"), "new")
-    goals = materialize(tasks.select("taskNumber", "goalState"))
+    goals, n_tasks = tasks.select("taskNumber", "goalState"), rows_of(tasks)
     starts = tasks.select("taskNumber", F.col("startState").alias("_last")).join(
         arcs.select("taskNumber", "_last").distinct(), ["taskNumber", "_last"], "left_semi")
     walks = materialize(starts.withColumn("path", F.array("_last")))
@@ -262,7 +261,7 @@ def optimal_paths(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
     while rows_of(walks) > 0:
         grown = walks.join(arcs, ["taskNumber", "_last"]).select(
             "taskNumber", F.col("new").alias("_last"), F.concat("path", F.array("new")).alias("path"))
-        grown = materialize(join_lookup(grown, goals, ["taskNumber"]))
+        grown = materialize(join_lookup(grown, goals, ["taskNumber"], rows=n_tasks))
         done.append(grown.where(F.col("_last") == F.col("goalState")).select("taskNumber", "path"))
         walks = materialize(grown.where(F.col("_last") != F.col("goalState")).drop("goalState"))
     if not done:
@@ -316,6 +315,18 @@ class ProblemGraphs:
         self.paths = paths
         self.tasks = paths.tasks
 
+    def prepare(self) -> None:
+        """Work out dead ends and shortest lengths side by side; neither needs the other."""
+        self.edges  # both start from here
+        threads = [
+            InheritableThread(target=lambda name=name: getattr(self, name), session=self.edges.sparkSession)
+            for name in ("dead", "lengths")
+        ]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+
     @cached_property
     def steps(self) -> DataFrame:
         return path_edges(self.paths)

@@ -14,14 +14,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import HOT_ROWS, materialize, setting
+from ..runtime import group_sizes, materialize, same_hot_key
 
 SEGMENT = "_segment"
-# At most this many groups can be hot, whatever the size of the log: the hot-key table
-# that is broadcast, and the number of segments, are bounded by it.
-MAX_HOT_GROUPS = 50_000
 
 
 def at(order: list[str]) -> Column:
@@ -240,18 +238,14 @@ class Lanes:
         Every later window key must contain ``key``; ``sort`` is ``key`` followed by the
         window order, so a segment is a stretch of that order for any finer key too.
         """
-        spark = df.sparkSession
-        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-        limit = max(setting(spark, HOT_ROWS), (total or 0) // MAX_HOT_GROUPS)
-        if (largest or 0) <= limit:
-            return cls(df.repartition(key), None, limit, largest or 0)
-        hot_keys = materialize(sizes.where(F.col("n") > limit).select(F.col(key).alias("_k")))
-        is_hot = df[key].eqNullSafe(hot_keys["_k"])
-        plain = df.join(F.broadcast(hot_keys), is_hot, "left_anti").repartition(key)
-        hot = df.join(F.broadcast(hot_keys), is_hot, "left_semi")
-        per_segment = max(1, limit // 2)
-        return cls(plain, _segment(hot, sort, per_segment), per_segment, largest)
+        sizes = group_sizes(df, [key])
+        if sizes.hot is None:
+            return cls(df.repartition(key), None, sizes.limit, sizes.largest)
+        hot_keys = F.broadcast(sizes.hot.drop("n"))
+        plain = df.join(hot_keys, same_hot_key([key]), "left_anti").repartition(key)
+        hot = df.join(hot_keys, same_hot_key([key]), "left_semi")
+        per_segment = max(1, sizes.limit // 2)
+        return cls(plain, _segment(hot, sort, per_segment), per_segment, sizes.largest)
 
     def map(self, fn: Callable[[DataFrame], DataFrame]) -> Lanes:
         """Apply a row-wise step (select, filter) to both lanes."""
@@ -282,6 +276,18 @@ class Lanes:
             self.rows_per_segment, self.largest,
         )
 
+    def persist(self) -> Lanes:
+        """Keep both lanes on the executors' disks, hashed as they are."""
+        for df in (self.plain, self.hot):
+            if df is not None:
+                df.persist(StorageLevel.DISK_ONLY)
+        return self
+
+    def unpersist(self) -> None:
+        for df in (self.plain, self.hot):
+            if df is not None:
+                df.unpersist()
+
     def is_empty(self) -> bool:
         return self.plain.isEmpty() and (self.hot is None or self.hot.isEmpty())
 

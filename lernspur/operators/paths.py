@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..runtime import FOLD_EVENTS, join_lookup, materialize, setting
+from ..runtime import FOLD_EVENTS, join_lookup, materialize, rows_of, setting
 from ..schemas import (
     EVENT_ORDER, K4, MISSING_ACTION, MISSING_NODE, NO_PATH_EVENTS, NO_PATH_RESET_REASONS,
 )
@@ -309,6 +309,7 @@ def attempt_paths(events: Lanes, tasks: DataFrame) -> Paths:
     """Rebuild the path of every attempt-visit from its ``path_events``."""
     spark = events.plain.sparkSession
     limit = setting(spark, FOLD_EVENTS)
+    tasks = materialize(tasks.select("taskNumber", "startState", "goalState"))
     if events.largest <= limit:  # no student has that many events, so no attempt has
         return Paths(_fold_attempts(events.merge(), tasks), None, tasks)
     sized = events.ordered(K4, EVENT_ORDER, Whole("_n", F.lit(1), F.sum))
@@ -352,8 +353,9 @@ def path_edges(paths: Paths) -> DataFrame:
     ``to_goal`` marks transitions at or before the last visit of the goal in that path;
     both of their states are then known to lead to the goal.
     """
-    tasks = paths.tasks.select("taskNumber", "goalState")
-    short = join_lookup(paths.short.where(F.size("states") > 1), tasks, ["taskNumber"])
+    tasks, n_tasks = paths.tasks.select("taskNumber", "goalState"), rows_of(paths.tasks)
+    short = join_lookup(
+        paths.short.where(F.size("states") > 1), tasks, ["taskNumber"], rows=n_tasks)
     last_goal = F.size("states") - F.array_position(F.reverse("states"), F.col("goalState"))
     last_goal = F.when(F.array_contains("states", F.col("goalState")), last_goal).otherwise(-1)
     edges = (
@@ -375,7 +377,7 @@ def path_edges(paths: Paths) -> DataFrame:
     )
     if paths.long is None:
         return edges
-    goals = join_lookup(paths.long, tasks, ["taskNumber"]).where(F.col("state") == F.col("goalState"))
+    goals = join_lookup(paths.long, tasks, ["taskNumber"], rows=n_tasks).where("state = goalState")
     last = materialize(goals.groupBy(*K4).agg(F.max("pos").alias("_last_goal")))
     heads = join_lookup(paths.long.where(F.col("pos") > 0), last, K4, "left")
     # (key, position) is unique on both sides, so no join key is hot.

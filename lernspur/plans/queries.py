@@ -9,11 +9,12 @@ from ..operators import attempts as att
 from ..operators import graph as gr
 from ..operators import paths as pt
 from ..operators import quality, rollups, visits
-from ..operators.classify import attempt_with_class, classify_attempts
+from ..operators.classify import classify_attempts
 from ..runtime import materialize
 from ..schemas import K4, STUDENT
 from ..sources import files
 from ..sources.clickstream import LOG_COLUMNS, clickstream_lanes, clickstream_tasks
+from .study import aggregate_events
 
 SINGLE = {
     "total_time", "pause_time", "pause_time_ratio", "total_time_spent", "avg_time_spent",
@@ -273,10 +274,8 @@ def classified_attempts(spark, folder):
 
 
 def attempts_and_classes(spark, folder):
-    normalized = _normalized(spark, folder)
-    attempts = att.attempt_level(visits.attempt_events(normalized))
-    paths = pt.attempt_paths(pt.path_events(normalized), clickstream_tasks(spark)).store()
-    return published(attempt_with_class(attempts, classify_attempts(gr.ProblemGraphs(paths))))
+    attempts, _ = aggregate_events(_lanes(spark, folder), clickstream_tasks(spark))
+    return published(attempts)
 
 
 # --- tasks ---

@@ -29,14 +29,22 @@ def problem_graphs(events: DataFrame | Lanes, tasks: DataFrame) -> ProblemGraphs
 
 
 def aggregate_events(events: DataFrame | Lanes, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Event log -> (attempt table with classes, student x task table)."""
+    """Event log -> (attempt table with classes, student x task table).
+
+    Both branches, attempts and paths, start from the normalised log. It is kept on the
+    executors' disks in its hash partitioning meanwhile, so the log is shuffled once. The
+    attempt rows are stored, as both results are made from them.
+    """
     lanes = events if isinstance(events, Lanes) else event_lanes(events)
-    normalized = normalize_visits(lanes)
-    attempts = att.attempt_lanes(attempt_events(normalized))
-    graphs = ProblemGraphs(attempt_paths(path_events(normalized), tasks).store())
+    normalized = normalize_visits(lanes).persist()
+    try:
+        paths = attempt_paths(path_events(normalized), tasks).store()
+        attempts = att.attempt_lanes(attempt_events(normalized)).store_all()
+    finally:
+        normalized.unpersist()
     table = attempts.merge().select(*att.ATTEMPT_COLUMNS)
     return (
-        attempt_with_class(table, classify_attempts(graphs)),
+        attempt_with_class(table, classify_attempts(ProblemGraphs(paths))),
         rollups.student_problem(attempts),
     )
 

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Settings read from the session, with their defaults.
 HOT_ROWS = ("spark.lernspur.hotGroupRows", 2_000_000)
-BROADCAST_ROWS = ("spark.lernspur.broadcastRows", 1_000_000)
+BROADCAST_ROWS = ("spark.lernspur.broadcastRows", 500_000)
 FOLD_EVENTS = ("spark.lernspur.foldEvents", 1_000)
-SALTS = ("spark.lernspur.salts", 64)
 HOP_ROUNDS = ("spark.lernspur.hopRounds", 24)
 
+# At most this many groups can be hot, whatever the size of a table: the hot-key table that
+# is broadcast, and the pieces that hot groups are split into, are bounded by it.
+MAX_HOT_GROUPS = 50_000
+
 
 def setting(spark: SparkSession, key: tuple[str, int]) -> int:
     return int(spark.conf.get(key[0], str(key[1])))
@@ -55,23 +59,56 @@ def rows_of(stored: DataFrame) -> int:
     return known
 
 
+@dataclass(frozen=True)
+class GroupSizes:
+    """``limit`` rows make a group hot; ``hot`` holds the hot keys and their row counts ``n``."""
+
+    limit: int
+    largest: int
+    hot: DataFrame | None
+
+
+def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
+    """Find the groups with too many rows for one task; only the key columns are read."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    limit = max(setting(df.sparkSession, HOT_ROWS), (total or 0) // MAX_HOT_GROUPS)
+    if (largest or 0) <= limit:
+        return GroupSizes(limit, largest or 0, None)
+    hot = sizes.where(F.col("n") > limit).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
+    return GroupSizes(limit, largest, materialize(hot))
+
+
+def same_hot_key(keys: list[str]):
+    return F.expr(" AND ".join(f"{k} <=> _hot_{k}" for k in keys))
+
+
 def join_lookup(
     big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", rows: int | None = None
 ) -> DataFrame:
     """Join a fact table to a lookup table whose keys may be very unevenly used.
 
     ``rows`` is an upper bound for the rows of ``small``; without it ``small`` is counted,
-    and should then be materialised. Up to the broadcast bound it is broadcast; beyond it
-    every lookup row is copied once per salt and the fact rows of one key are spread over
-    the salts. Only the lookup side is copied, so ``how`` may be inner, left, left_semi or
-    left_anti.
+    and should then be materialised. Up to the broadcast bound it is broadcast. Beyond it
+    both sides are shuffled; fact rows of a hot key are spread over as many salts as the key
+    has times the allowed rows, and only the lookup rows of hot keys are copied per salt.
+    ``how`` may be inner, left, left_semi or left_anti.
     """
-    spark = big.sparkSession
     if rows is None:
         rows = rows_of(small)
-    if rows <= setting(spark, BROADCAST_ROWS):
+    if rows <= setting(big.sparkSession, BROADCAST_ROWS):
         return big.join(F.broadcast(small), keys, how)
-    salts = setting(spark, SALTS)
-    salt = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    sizes = group_sizes(big, keys)
+    if sizes.hot is None:
+        return big.join(small, keys, how)
+    marks = F.broadcast(sizes.hot.select(
+        *[f"_hot_{k}" for k in keys], F.ceil(F.col("n") / sizes.limit).alias("_salts")))
+
+    def marked(df):
+        return df.join(marks, same_hot_key(keys), "left").drop(*[f"_hot_{k}" for k in keys])
+
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*big.columns), F.col("_salts")))
+    salted = marked(big).withColumn("_salt", F.coalesce(salt, F.lit(0).cast("long")))
+    copies = marked(small).withColumn(
+        "_salt", F.explode(F.expr("sequence(0L, coalesce(_salts, 1L) - 1)")))
+    return salted.drop("_salts").join(copies.drop("_salts"), [*keys, "_salt"], how).drop("_salt")

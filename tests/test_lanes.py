@@ -68,7 +68,7 @@ def usual(spark, data):
 
 @pytest.mark.parametrize("name", QUERIES_WITH_GROUPS)
 def test_hot_students(spark, data, settings, usual, name):
-    settings(hotGroupRows=65, broadcastRows=20, salts=3)
+    settings(hotGroupRows=65, broadcastRows=20)
     assert rows(QUERIES[name](spark, data)) == usual[name]
 
 
@@ -114,7 +114,7 @@ def test_lookup_beyond_the_broadcast_bound(spark, settings, how):
     big = _skewed(spark)
     small = materialize(spark.createDataFrame([("a", 1), ("c", 2)], "k string, x int"))
     expected = rows(big.join(small, "k", how))
-    settings(broadcastRows=1, salts=5)
+    settings(broadcastRows=1, hotGroupRows=50)
     joined = join_lookup(big, small, ["k"], how)
     assert rows(joined.select(*big.columns, *(["x"] if "x" in joined.columns else []))) == expected
 
