@@ -122,7 +122,8 @@ def clean_attempt_export(df: DataFrame) -> DataFrame:
 def bundle_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Files missing from the study folders under ``root``: ``(study, missing)``.
 
-    Only names are listed; no file is opened.
+    Only names are listed, no file is opened. Empty files are not listed and so count as
+    missing.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

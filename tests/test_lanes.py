@@ -55,9 +55,8 @@ def test_hot_rows_leave_the_plain_lane(spark, settings):
 
 
 QUERIES_WITH_GROUPS = [
-    "event_log", "visit_collapse", "reset_reassign", "event_deltas", "attempt_level",
-    "student_problem", "student_level", "assignment_level", "path_events", "attempt_paths",
-    "student_edges", "classify_attempts",
+    "event_log", "reset_reassign", "attempt_level", "assignment_level", "attempt_paths",
+    "classify_attempts",
 ]
 
 
@@ -72,11 +71,11 @@ def test_hot_students(spark, data, settings, usual, name):
     assert rows(QUERIES[name](spark, data)) == usual[name]
 
 
-@pytest.mark.parametrize("limit, hot", [(0, 10_000), (3, 10_000), (0, 65)])
+@pytest.mark.parametrize("limit, hot", [(0, 10_000), (3, 65)])
 def test_long_attempts(spark, data, settings, usual, limit, hot):
     """Paths found with windows equal folded paths, in hot groups too."""
     settings(foldEvents=limit, hotGroupRows=hot)
-    for name in ("attempt_paths", "student_edges", "classify_attempts"):
+    for name in ("attempt_paths", "classify_attempts"):
         assert rows(QUERIES[name](spark, data)) == usual[name]
 
 

@@ -1,5 +1,6 @@
 """Every registered query against its SQL on DuckDB."""
 
+import functools
 import glob
 import os
 
@@ -7,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lernspur.plans import queries
 
 SQL = entry.oracle_sql()
 
@@ -20,6 +22,15 @@ def duck(data):
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shared_graphs():
+    """Queries on graphs share them here; by themselves each builds its own."""
+    build = queries._graphs
+    queries._graphs = functools.cache(build)
+    yield
+    queries._graphs = build
+
+
 def _rows(names, values):
     order = sorted(range(len(names)), key=lambda i: names[i])
     text = [tuple("null" if r[i] is None else repr(r[i]) for i in order) for r in values]
