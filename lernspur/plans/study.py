@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.states import convert_event_states
 from ..operators import attempts as att
@@ -15,7 +15,7 @@ from ..operators.ordered import Lanes
 from ..operators.paths import attempt_paths, path_events
 from ..operators.quality import check_tasks
 from ..operators.visits import attempt_events, event_lanes, normalize_visits
-from ..runtime import materialize
+from ..runtime import materialize, rows_of
 from ..sources import files
 from .outputs import check_formats, study_info_lines, write_study_info, write_table
 
@@ -86,9 +86,11 @@ def run_study(
     if roster is None:
         log.warning("the roster is empty; the data may be from a public session")
     else:
+        log.info("students in roster: %d", roster.count())
         save(roster, "roster_metadata")
     tasks = materialize(files.task_metadata(
         files.read_tasks(spark, files.bundle_path(input_dir, "task")), convert_states))
+    log.info("tasks: %d", rows_of(tasks))
     save(tasks, "task_metadata")
 
     events = files.read_events(

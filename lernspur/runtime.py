@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,11 +34,15 @@ def table_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="lernspur-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return root.rstrip("/")
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="lernspur-")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
