@@ -351,11 +351,11 @@ def path_edges(paths: Paths) -> DataFrame:
     """One row per transition of a path.
 
     ``to_goal`` marks transitions at or before the last visit of the goal in that path;
-    both of their states are then known to lead to the goal.
+    both of their states are then known to lead to the goal. ``paths`` should be stored:
+    filters on the exploded arrays would otherwise run the fold a second time.
     """
     tasks, n_tasks = paths.tasks.select("taskNumber", "goalState"), rows_of(paths.tasks)
-    short = join_lookup(
-        paths.short.where(F.size("states") > 1), tasks, ["taskNumber"], rows=n_tasks)
+    short = join_lookup(paths.short, tasks, ["taskNumber"], rows=n_tasks)
     last_goal = F.size("states") - F.array_position(F.reverse("states"), F.col("goalState"))
     last_goal = F.when(F.array_contains("states", F.col("goalState")), last_goal).otherwise(-1)
     edges = (

@@ -209,11 +209,11 @@ EDGE = ["prev", "new", "attempt_count", "math_trans_type", "weight"]
 
 
 def transition_edges(spark, folder):
-    return gr.transition_edges(pt.path_edges(_paths(spark, folder))).select("taskNumber", *EDGE)
+    return gr.transition_edges(pt.path_edges(_paths(spark, folder).store())).select("taskNumber", *EDGE)
 
 
 def student_edges(spark, folder):
-    edges = gr.student_edges(pt.path_edges(_paths(spark, folder)))
+    edges = gr.student_edges(pt.path_edges(_paths(spark, folder).store()))
     return edges.select("taskNumber", F.col("scope").alias(STUDENT), *EDGE)
 
 

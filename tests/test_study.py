@@ -228,3 +228,13 @@ def test_keys_in_first_seen_order(spark):
 
 def test_tables_go_to_the_shared_folder(spark):
     assert table_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_converted_study(spark, bundle, tmp_path):
+    """With converted event states the task states stay as they are in the metadata."""
+    (tmp_path / "study-7").mkdir()
+    _, folder = run_study(spark, str(bundle / "study_a"), str(tmp_path), "parquet", convert_states=True,
+                          extra_columns=False, overwrite=True)
+    events = spark.read.parquet(f"{folder}/event_logs.parquet")
+    assert {"oldState_latex", "newState_latex"} <= set(events.columns) and "zoom" not in events.columns
+    assert spark.read.parquet(f"{folder}/task_metadata.parquet").columns == ["taskNumber", "startState", "goalState"]
