@@ -9,8 +9,6 @@ from ..schemas import K4, MISSING_NODE, STUDENT
 from .graph import ALL_STUDENTS, NODE, ProblemGraphs
 from .paths import path_nodes, path_outcomes
 
-CLASS_COLUMNS = ["MFL_global_class", "MFL_individual_class", "missing_steps_in_logs"]
-
 
 def classify_attempts(graphs: ProblemGraphs) -> DataFrame:
     """One class against the whole task's graph and one against the student's own.
