@@ -260,11 +260,13 @@ def graph_links(spark, folder):
 
 def graph_nodes(spark, folder):
     g = _graphs(spark, folder)
+    g.prepare()
     return gr.graph_node_flags(g.scoped, g.best_nodes, g.dead)
 
 
 def graph_export(spark, folder):
     g = _graphs(spark, folder)
+    g.prepare()
     return gr.graph_json(gr.graph_links(g.edges, g.best_edges),
                          gr.graph_node_flags(g.scoped, g.best_nodes, g.dead))
 
