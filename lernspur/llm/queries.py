@@ -66,7 +66,7 @@ QUERIES = {
 _NAMES = ", ".join(f"'{s}'" for s in SHARDS)
 _M = sharding.TABLE_SIZE
 
-ORACLE_SQL = {
+ORACLE_SQL_BY_NAME = {
     "op3_warc_revisits": """
         WITH p AS (
           SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
