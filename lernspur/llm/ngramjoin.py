@@ -5,6 +5,7 @@ sets of sizes a and b with Jaccard similarity s or more share at least s (a + b)
 
 * with any fixed order of columns, they share one of the first n - ceil(s n) + 1 columns of each: only this
   prefix of each row enters the product;
+* columns that no other row has cannot be shared: an overlap is at most the smaller of the two sizes without them;
 * with A shared columns counted up to places i and j of the two prefixes, the whole overlap is at most
   A + min(a - i - 1, b - j - 1): pairs below the bound are discarded;
 * for pairs that are left, the remaining columns are multiplied as well, which gives the exact overlap.
@@ -16,7 +17,7 @@ only costs time.
 
 Products of long columns are not expanded. Each round multiplies every column with one leading row only;
 verified links are contracted to components, and only columns that still hold several components go on.
-When the pairs between components are few, or a round finds no link, all that are left are checked. So no
+When a round finds few links, all pairs that are left between components are checked. So no
 link between different components is lost, and groups of copies cost one pair for each member.
 
 A set is known by a 64-bit number drawn from its shingles' hashes; overlaps are counted on 48 bits of each.
@@ -36,11 +37,12 @@ from lernspur.runtime import materialize
 from .text import shingle_sets, word_hashes
 
 WIDTH = 5
+DEBUG = True
 SHARE = (80, 100)
 HOT = 48  # a column in more prefixes than this is frequent
 HOT_BITS, SEEN_BITS, NODE_BITS = 24, 27, 24
 BLOCK_BYTES = 4 << 20  # text per block of columns, about
-PAIRS_PER_ENTRY = 2  # expand all pairs when there are at most so many for each entry
+HARVEST = 8  # rounds go on while one in so many of their pairs links
 
 
 def least_overlap(a, b, share=SHARE):
@@ -139,7 +141,8 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
     """(members, entries), both stored.
 
     members: doc_id, node, n - the set number and size of every document.
-    entries: col, node, n, pos - the columns of each set's prefix that occur in two sets or more.
+    entries: col, node, n, pos, most - the columns of each set's prefix that occur in two sets or
+    more; ``most`` is the set's size without the columns of its prefix that no other set has.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -189,7 +192,8 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
                 if len(pos):
                     yield pa.RecordBatch.from_pydict({
                         "col": columns[pos].astype(np.int64), "node": np.full(len(pos), node, np.int64),
-                        "n": np.full(len(pos), n, np.int64), "pos": pos.astype(np.int32)})
+                        "n": np.full(len(pos), n, np.int64), "pos": pos.astype(np.int32),
+                        "most": np.full(len(pos), n - len(columns) + len(pos), np.int64)})
             if len(done) > 1_000_000:
                 done = set()
 
@@ -204,7 +208,7 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    entries = kept.mapInArrow(packed, "col long, node long, n long, pos int")
+    entries = kept.mapInArrow(packed, "col long, node long, n long, pos int, most long")
     return stored.select("doc_id", "node", "n"), materialize(entries)
 
 
@@ -220,11 +224,6 @@ def _bounded(pairs: DataFrame, share) -> DataFrame:
     return sums.where((p + q) * most >= p * (F.col("nx") + F.col("ny"))).select("x", "y", "nx", "ny")
 
 
-def _sizes_fit(a, b, share):
-    p, q = share
-    return q * F.least(a, b) >= p * F.greatest(a, b)
-
-
 def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataFrame:
     """The pairs whose whole sets share enough columns; stored. ``pairs`` is stored."""
     spark = documents.sparkSession
@@ -318,52 +317,68 @@ def _with_comp(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
     return entries.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
+def _can_link(n, most, other_n, other_most, share):
+    """Whether the columns that two sets may share are enough."""
+    p, q = share
+    return (p + q) * F.least(most, other_most) >= p * (n + other_n)
+
+
+def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    if not tested:
+        return pairs
+    return pairs.join(reduce(DataFrame.union, tested).distinct(), ["x", "y"], "left_anti")
+
+
 def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame | None:
     """Verified links (x, y) that have the same components as all links; None if there are none."""
     found: list[DataFrame] = []
     tested: list[DataFrame] = []
     comps, turn = None, 0
     live = entries
+    p, q = share
     while True:
         own = _with_comp(live, comps)
-        columns = own.groupBy("col").agg(
-            F.min("comp").alias("_low"), F.max("comp").alias("_high"),
-            F.min(F.struct((F.col("pos") if turn == 0 else F.xxhash64("node", F.lit(turn))).alias("o"),
-                           "node", "comp", "n", "pos")).alias("lead")).where("_low <> _high")
-        # Entries of columns that still hold several components, with the column's leading row.
-        live = materialize(own.join(columns.select("col", "lead"), "col"))
-        star = live.where(F.col("comp") != F.col("lead.comp")).where(
-            _sizes_fit(F.col("n"), F.col("lead.n"), share)).select(
-            F.least("node", "lead.node").alias("x"), F.greatest("node", "lead.node").alias("y"),
-            F.when(F.col("node") < F.col("lead.node"), F.col("n")).otherwise(F.col("lead.n")).alias("nx"),
-            F.when(F.col("node") < F.col("lead.node"), F.col("lead.n")).otherwise(F.col("n")).alias("ny"),
-            F.when(F.col("node") < F.col("lead.node"), F.col("pos")).otherwise(F.col("lead.pos")).alias("px"),
-            F.when(F.col("node") < F.col("lead.node"), F.col("lead.pos")).otherwise(F.col("pos")).alias("py"))
+        ends = own.groupBy("col").agg(
+            F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("n").alias("_least")).where("_low <> _high")
+        # Entries of columns that still hold several components, without those that can link with no
+        # row of the column.
+        live = materialize(own.join(ends, "col").where(
+            _can_link(F.col("n"), F.col("most"), F.col("_least"), F.col("most"), share)).select(*own.columns))
+        # A leading row for each class of sizes; classes come in two grids, so rows of like size
+        # share one. It is the row with fewest columns of its own, as the original of many copies has, and
+        # in later rounds one by hash.
+        first = F.col("n") - F.col("most") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        scale = F.log(F.col("n").cast("double")) / float(np.log(q / p))
+        classed = live.withColumn("size", F.explode(F.array(
+            2 * F.floor(scale), 2 * F.floor(scale + 0.5) + 1)))
+        lead = classed.groupBy("col", "size").agg(F.min(F.struct(
+            first.alias("o"), "node", "comp", "n", "most")).alias("lead"))
+        star = classed.join(lead, ["col", "size"]).where(F.col("comp") != F.col("lead.comp")).where(
+            _can_link(F.col("n"), F.col("most"), F.col("lead.n"), F.col("lead.most"), share)).select(
+            "node", F.col("lead.node").alias("with"))
         if turn:
-            # Pairs between components that all columns together would give.
-            sizes = live.groupBy("col", "comp").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("col").agg(
-                ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("k"), F.sum("c").alias("e"))
-            pairs, rows = sizes.agg(F.sum("k"), F.sum("e")).first()
-            if not rows:
-                break
-            last = pairs <= PAIRS_PER_ENTRY * rows or fresh_links == 0
+            last = HARVEST * fresh_links < fresh_pairs
             if last:
-                slim = live.select("col", "node", "n", "pos", "comp")
+                slim = live.select("col", "node", "n", "pos", "most", "comp")
                 star = slim.alias("a").join(slim.alias("b"), "col").where(
                     (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
-                    & _sizes_fit(F.col("a.n"), F.col("b.n"), share)).select(
+                    & _can_link(F.col("a.n"), F.col("a.most"), F.col("b.n"), F.col("b.most"), share)).select(
                     F.col("a.node").alias("x"), F.col("b.node").alias("y"), F.col("a.n").alias("nx"),
                     F.col("b.n").alias("ny"), F.col("a.pos").alias("px"), F.col("b.pos").alias("py"))
         else:
             last = False
-        # With only the leading row multiplied, a pair's shared columns are not all counted: the
-        # bound holds for whole products alone, so star rounds use sizes and leave the rest to verify.
-        fresh = _bounded(star, share) if last else star.select("x", "y", "nx", "ny").distinct()
-        if tested:
-            fresh = fresh.join(reduce(DataFrame.union, tested).distinct(), ["x", "y"], "left_anti")
+        if last:
+            fresh = _untested(_bounded(star, share), tested)
+        else:
+            # Rounds need not be complete: each row is checked with the leading row it shares most with.
+            sums = star.groupBy("node", "with").agg(F.count(F.lit(1)).alias("shared")).select(
+                "node", "with", "shared", F.least("node", "with").alias("x"), F.greatest("node", "with").alias("y"))
+            fresh = _untested(sums, tested).groupBy("node").agg(
+                F.max(F.struct("shared", "x", "y")).alias("b")).select("b.x", "b.y").distinct()
         fresh = materialize(fresh.select("x", "y"))
         new = verified(documents, fresh, width, share)
-        fresh_links = new.count()
+        fresh_links, fresh_pairs = new.count(), fresh.count()
+        if DEBUG: print("turn",turn,"last",last,"live",live.count(),"pairs",fresh.count(),"links",fresh_links,flush=True)
         tested.append(fresh)
         if fresh_links:
             found.append(new)
@@ -371,7 +386,7 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
                 comps = components(reduce(DataFrame.union, found))
         if last:
             break
-        live = live.select("col", "node", "n", "pos")
+        live = live.select("col", "node", "n", "pos", "most")
         turn += 1
     return reduce(DataFrame.union, found) if found else None
 
