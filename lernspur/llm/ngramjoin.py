@@ -37,7 +37,6 @@ from lernspur.runtime import materialize
 from .text import shingle_sets, word_hashes
 
 WIDTH = 5
-DEBUG = True
 SHARE = (80, 100)
 HOT = 48  # a column in more prefixes than this is frequent
 HOT_BITS, SEEN_BITS, NODE_BITS = 24, 27, 24
@@ -225,7 +224,11 @@ def _bounded(pairs: DataFrame, share) -> DataFrame:
 
 
 def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataFrame:
-    """The pairs whose whole sets share enough columns; stored. ``pairs`` is stored."""
+    """The pairs (x, y) with ``shared``, ``nx``, ``ny`` over whole sets, and ``own``; stored.
+
+    ``own`` holds the columns of x outside y where half of their union is shared, else it is null.
+    ``pairs`` is stored.
+    """
     spark = documents.sparkSession
     p, q = share
     slots = pairs.select(F.explode(F.array("x", "y")).alias("node")).select(
@@ -235,7 +238,7 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
     bitmap = np.zeros(1 << (NODE_BITS - 6), np.int64)
     bitmap[np.asarray(words.column("w"))] = np.asarray(words.column("v"))
     if not bitmap.any():
-        return materialize(pairs.select("x", "y").limit(0))
+        return materialize(spark.createDataFrame([], _TESTED))
     wanted = spark.sparkContext.broadcast(bitmap)
 
     def sets(batches):
@@ -269,19 +272,31 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
 
     def overlaps(batches):
         for batch in batches:
-            keep, last, ys = [], None, None
-            for i, (y, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("y", "sx", "sy")))):
+            rows, last, ys = {"shared": [], "nx": [], "ny": [], "own": []}, None, None
+            for y, a, b in zip(*(batch.column(c).to_pylist() for c in ("y", "sx", "sy"))):
                 if y != last:
                     last, ys = y, wide(b)
                 xs = wide(a)
                 at = np.searchsorted(ys, xs)
                 at[at == len(ys)] = 0
-                shared = int((ys[at] == xs).sum())
-                if (p + q) * shared >= p * (len(xs) + len(ys)):
-                    keep.append(i)
-            yield batch.select(["x", "y"]).take(pa.array(keep, pa.int64()))
+                hit = ys[at] == xs
+                shared = int(hit.sum())
+                near = 3 * shared >= len(xs) + len(ys)
+                for key, v in zip(rows, (shared, len(xs), len(ys), xs[~hit].astype(np.int64).tolist() if near else None)):
+                    rows[key].append(v)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("x"), batch.column("y"), *(pa.array(rows[c], pa.int64()) for c in ("shared", "nx", "ny")),
+                 pa.array(rows["own"], pa.list_(pa.int64()))], names=["x", "y", "shared", "nx", "ny", "own"])
+
+    return materialize(both.mapInArrow(overlaps, _TESTED))
 
-    return materialize(both.mapInArrow(overlaps, "x long, y long"))
+
+_TESTED = "x long, y long, shared long, nx long, ny long, own array<bigint>"
+
+
+def _linked(tested: DataFrame, share) -> DataFrame:
+    p, q = share
+    return tested.where((p + q) * F.col("shared") >= p * (F.col("nx") + F.col("ny"))).select("x", "y")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -329,10 +344,46 @@ def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
     return pairs.join(reduce(DataFrame.union, tested).distinct(), ["x", "y"], "left_anti")
 
 
+def _with_pivot(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    return rows.join(pivots.select("node", "pivot", "held"), "node", "left")
+
+
+def _needs_more(share):
+    """Whether rows a and b, known by the same pivot, share too little of it to link by that alone.
+
+    The overlap is at most the smaller part held of the pivot, plus what they share outside it. So
+    such a pair must share a column outside, and is found by those.
+    """
+    p, q = share
+    return F.coalesce(
+        (F.col("a.pivot") == F.col("b.pivot"))
+        & ((p + q) * F.least("a.held", "b.held") < p * (F.col("a.n") + F.col("b.n"))), F.lit(False))
+
+
+def _beside_pivots(pivots: DataFrame, comps: DataFrame | None, share) -> DataFrame:
+    """Pairs that :func:`_needs_more` left out and that share enough columns outside their pivot."""
+    p, q = share
+    own = _with_comp(pivots, comps)
+    # What all of a pivot's rows have beside it is in no more than these entries; single ones go first.
+    rows = materialize(own.select("node", "n", "pivot", "held", "comp", F.explode("own").alias("col")))
+    twice = rows.groupBy("pivot", "col").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where(
+        "_low <> _high").select("pivot", "col")
+    rows = rows.join(twice, ["pivot", "col"], "left_semi")
+    pairs = rows.alias("a").join(rows.alias("b"), ["pivot", "col"]).where(
+        (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
+        & (q * F.least("a.n", "b.n") >= p * F.greatest("a.n", "b.n"))).select(
+        F.col("a.node").alias("x"), F.col("b.node").alias("y"), F.col("a.n").alias("nx"), F.col("b.n").alias("ny"),
+        F.least("a.held", "b.held").alias("held"))
+    sums = pairs.groupBy("x", "y").agg(
+        F.count(F.lit(1)).alias("beside"), F.max("nx").alias("nx"), F.max("ny").alias("ny"), F.max("held").alias("held"))
+    return sums.where((p + q) * (F.col("held") + F.col("beside")) >= p * (F.col("nx") + F.col("ny"))).select("x", "y")
+
+
 def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame | None:
     """Verified links (x, y) that have the same components as all links; None if there are none."""
     found: list[DataFrame] = []
-    tested: list[DataFrame] = []
+    tested: list[DataFrame] = []  # pairs in both directions
+    pivots = None
     comps, turn = None, 0
     live = entries
     p, q = share
@@ -359,27 +410,33 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
         if turn:
             last = HARVEST * fresh_links < fresh_pairs
             if last:
-                slim = live.select("col", "node", "n", "pos", "most", "comp")
+                slim = _with_pivot(live.select("col", "node", "n", "pos", "most", "comp"), pivots)
                 star = slim.alias("a").join(slim.alias("b"), "col").where(
                     (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
-                    & _can_link(F.col("a.n"), F.col("a.most"), F.col("b.n"), F.col("b.most"), share)).select(
+                    & _can_link(F.col("a.n"), F.col("a.most"), F.col("b.n"), F.col("b.most"), share)
+                    & ~_needs_more(share)).select(
                     F.col("a.node").alias("x"), F.col("b.node").alias("y"), F.col("a.n").alias("nx"),
                     F.col("b.n").alias("ny"), F.col("a.pos").alias("px"), F.col("b.pos").alias("py"))
         else:
             last = False
         if last:
-            fresh = _untested(_bounded(star, share), tested)
+            fresh = _untested(_bounded(star, share).select("x", "y").union(_beside_pivots(pivots, comps, share)), tested)
         else:
             # Rounds need not be complete: each row is checked with the leading row it shares most with.
             sums = star.groupBy("node", "with").agg(F.count(F.lit(1)).alias("shared")).select(
-                "node", "with", "shared", F.least("node", "with").alias("x"), F.greatest("node", "with").alias("y"))
+                "node", "shared", F.col("node").alias("x"), F.col("with").alias("y"))
             fresh = _untested(sums, tested).groupBy("node").agg(
                 F.max(F.struct("shared", "x", "y")).alias("b")).select("b.x", "b.y").distinct()
-        fresh = materialize(fresh.select("x", "y"))
-        new = verified(documents, fresh, width, share)
+        fresh = materialize(fresh.select("x", "y").distinct())
+        done = verified(documents, fresh, width, share)
+        new = materialize(_linked(done, share))
+        if turn == 0:
+            # What is known of each row by its first leading row, where they are alike.
+            pivots = done.where("own IS NOT NULL").select(
+                F.col("x").alias("node"), F.col("nx").alias("n"), F.col("y").alias("pivot"),
+                F.col("shared").alias("held"), "own")
         fresh_links, fresh_pairs = new.count(), fresh.count()
-        if DEBUG: print("turn",turn,"last",last,"live",live.count(),"pairs",fresh.count(),"links",fresh_links,flush=True)
-        tested.append(fresh)
+        tested += [fresh, fresh.select("y", "x").toDF("x", "y")]
         if fresh_links:
             found.append(new)
             if not last:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, fingerprints, langid, lattice, mixing, quality, sharding, tokencount, tokenfile, warc
+from . import decontam, fingerprints, langid, lattice, mixing, ngramjoin, quality, sharding, tokencount, tokenfile, warc
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ngram_jaccard(spark, folder):
+    return ngramjoin.ngram_components(_table(spark, folder, "documents"))
+
+
 def token_binary(spark, folder):
     return tokenfile.token_table(_table(spark, folder, "documents"), tokenfile.default_tokenizer())
 
@@ -52,6 +56,7 @@ def mixing_schedule(spark, folder):
 
 
 QUERIES = {
+    "op1_ngram_jaccard": ngram_jaccard,
     "op2_token_binary": token_binary,
     "op3_warc_revisits": warc_revisits,
     "op4_shard_lookup": shard_lookup,
