@@ -17,9 +17,11 @@ system that Spark writes to will do.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ SAMPLE_DOCS = 1_000
 SAMPLE_IDS = 4_096
 BLOCK_BYTES = 4 << 20
 LEVEL = 3
-CACHE_SEGMENTS = 300_000
+CACHE_SEGMENTS = 700_000
 
 # Between non-spaces, a space starts a pre-token and a line feed is one; text may be cut there.
 _CUT = re.compile(r"(?<=[^\s])(?= [^\s])|(?<=[^\s])(?=\n[^\s])|(?<=[^\s]\n)(?=[^\s])")
@@ -44,6 +46,14 @@ _CUT = re.compile(r"(?<=[^\s])(?= [^\s])|(?<=[^\s])(?=\n[^\s])|(?<=[^\s]\n)(?=[^
 _tokenizers: dict[str, tuple] = {}
 
 
+def _lines(text: str) -> list[str] | None:
+    """The lines of a text whose only white space is single spaces and line feeds between other characters."""
+    if text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return None
+    lines = text.split("\n")
+    return lines if all(map(str.isprintable, lines)) else None  # other white space is not printable
+
+
 class _Segments:
     """Ids of text segments, remembered in the worker process up to a fixed number."""
 
@@ -51,20 +61,60 @@ class _Segments:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # segments as they are
+        self.after: dict[str, bytes] = {}  # words that follow a space
+        self.line = self._ids(["\n"])[0]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(texts), 20_000):
+            done = self.tokenizer.encode_batch_fast(texts[i:i + 20_000], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in done]
+        return out
+
+    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> list[str]:
+        """Add the ids of unknown words; returns these words."""
+        fresh = [w for w in words if w not in known]
+        # A full stop or comma after a letter is a pre-token of its own.
+        ends = {w for w in fresh if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
+        cores = list({w[:-1] for w in ends if w[:-1] not in known} | {w for w in fresh if w not in ends})
+        known.update(zip(cores, self._ids([lead + w for w in cores])))
+        marks = dict(zip(".,", self._ids([".", ","])))
+        known.update((w, known[w[:-1]] + marks[w[-1]]) for w in ends)
+        return [*cores, *ends]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32, without an end id."""
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        known = self.known
-        fresh = [s for s in set().union(*cut) if s not in known] if cut else []
-        own = known if len(known) + len(fresh) <= CACHE_SEGMENTS else dict(known)
-        for i in range(0, len(fresh), 20_000):
-            part = fresh[i:i + 20_000]
-            done = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            own.update((s, np.array(e.ids, "<u4").tobytes()) for s, e in zip(part, done))
-        get = own.__getitem__
-        return [b"".join(map(get, parts)) for parts in cut]
+        gc.disable()  # millions of strings, no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        cut, first, after = [], set(), set()
+        for t in texts:
+            lines = _lines(t) if t else None
+            if lines is None:
+                parts = _CUT.split(t) if t else []
+                first.update(parts)
+                cut.append((False, parts))
+            else:
+                lines = [x.split(" ") for x in lines]
+                for x in lines:
+                    first.add(x[0])
+                    after.update(x[1:])
+                cut.append((True, lines))
+        new = (self._learn(self.first, first, ""), self._learn(self.after, after, " "))
+        head, get = self.first.__getitem__, self.after.__getitem__
+        out = [
+            self.line.join(head(x[0]) + b"".join(map(get, x[1:])) for x in parts) if even
+            else b"".join(map(head, parts)) for even, parts in cut]
+        for known, words in zip((self.first, self.after), new):
+            if len(known) > CACHE_SEGMENTS:
+                for w in words:
+                    del known[w]
+        return out
 
 
 def _segments(path: str) -> _Segments:
@@ -73,7 +123,7 @@ def _segments(path: str) -> _Segments:
     return _tokenizers[path]
 
 
-def _groups(texts: list[str], size: int = 4 << 20):
+def _groups(texts: list[str], size: int = 2 << 20):
     """Runs of texts of about ``size`` characters."""
     i, held = 0, 0
     for j, t in enumerate(texts):
