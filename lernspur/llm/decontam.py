@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lernspur.runtime import materialize
+
 from .lattice import spans_of
 from .text import SLICE, _LOWER, _SPACE, column_bytes, edges, hash_runs, mix, windows
 
@@ -196,11 +198,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, cover:
     found = document_windows(documents, bitmap, widths).alias("d").join(
         items.alias("b"), F.col("d.hash") == F.col("b.hash"))
     # Copies at several places of a document are judged apart: by where the item would begin.
-    rows = found.select(
+    rows = materialize(found.select(
         "doc_id", "item_id", (F.col("start") - F.col("at")).alias("origin"), "at", "n",
         F.expr("""filter(transform(kinds, (k, i) -> if(k > 0,
                     named_struct('kind', k, 'item', b.fillers[i], 'doc', d.fillers[i]), null)),
-                  x -> x IS NOT NULL)""").alias("slots"))
+                  x -> x IS NOT NULL)""").alias("slots")))
     key = ["doc_id", "item_id", "origin"]
     slots = rows.select(*key, F.explode("slots").alias("s")).distinct()
     bad = slots.groupBy(*key, "s.kind", "s.item").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key).union(
