@@ -20,7 +20,7 @@ EPOCH_SHARE = 1.5
 MOST_REPEATS = 2
 BLOCK = 256
 SLACK = 8  # slots beyond a source's need; more than a golden-ratio row can fall behind
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 
 # Points are i * _STEP mod _MOD; _STEP / _MOD is the golden ratio's fraction, and odd.
 _MOD = 1 << 40
