@@ -38,7 +38,7 @@ SAMPLE_DOCS = 1_000
 SAMPLE_IDS = 4_096
 BLOCK_BYTES = 4 << 20
 LEVEL = 3
-CACHE_SEGMENTS = 700_000
+CACHE_SEGMENTS = 500_000
 
 # Between non-spaces, a space starts a pre-token and a line feed is one; text may be cut there.
 _CUT = re.compile(r"(?<=[^\s])(?= [^\s])|(?<=[^\s])(?=\n[^\s])|(?<=[^\s]\n)(?=[^\s])")
@@ -137,15 +137,15 @@ def _groups(texts: list[str], size: int = 2 << 20):
 
 def train_dictionary(documents: DataFrame, tokenizer: str, docs: int = SAMPLE_DOCS,
                      ids: int = SAMPLE_IDS, size: int = DICT_BYTES) -> bytes:
-    """A shared dictionary from the ``docs`` documents with the smallest hash of their text.
+    """A shared dictionary from about ``docs`` documents, chosen by a hash of id and text.
 
-    The sample is bounded by ``docs`` and by the first ``ids`` ids of each; it has no effect on what is
-    stored, only on how small it gets. Empty where the sample is too small to learn from.
+    The sample is bounded by twice ``docs`` and by the first ``ids`` ids of each; it has no effect on what
+    is stored, only on how small it gets. Empty where the sample is too small to learn from.
     """
-    sample = (
-        documents.select(F.xxhash64("text").alias("h"), "text").where("text IS NOT NULL")
-        .orderBy("h").limit(docs).select(F.substring("text", 1, 8 * ids).alias("text"))
-    )
+    count = documents.count()
+    chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) <= F.lit(min(1 << 40, (docs << 40) // max(count, 1)))
+    sample = documents.where("text IS NOT NULL").where(chosen).limit(2 * docs).select(
+        F.substring("text", 1, 8 * ids).alias("text"))
 
     def train(batches):
         arrays = []
