@@ -408,7 +408,7 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
             _can_link(F.col("n"), F.col("most"), F.col("lead.n"), F.col("lead.most"), share)).select(
             "node", F.col("lead.node").alias("with"))
         if turn:
-            last = HARVEST * fresh_links < fresh_pairs
+            last = HARVEST * fresh_links <= fresh_pairs
             if last:
                 slim = _with_pivot(live.select("col", "node", "n", "pos", "most", "comp"), pivots)
                 star = slim.alias("a").join(slim.alias("b"), "col").where(
