@@ -30,7 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lernspur.runtime import materialize
 
@@ -41,6 +41,7 @@ SHARE = (80, 100)
 HOT = 48  # a column in more prefixes than this is frequent
 HOT_BITS, SEEN_BITS, NODE_BITS = 24, 27, 24
 BLOCK_BYTES = 4 << 20  # text per block of columns, about
+LONG = 1000  # a column with more entries than this is never gathered in one task
 HARVEST = 8  # rounds go on while one in so many of their pairs links
 
 
@@ -140,8 +141,9 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
     """(members, entries), both stored.
 
     members: doc_id, node, n - the set number and size of every document.
-    entries: col, node, n, pos, most - the columns of each set's prefix that occur in two sets or
-    more; ``most`` is the set's size without the columns of its prefix that no other set has.
+    entries: col, node, n, pos, most, long - the columns of each set's prefix that occur in two sets or
+    more; ``most`` is the set's size without the columns of its prefix that no other set has. Columns
+    with more than LONG entries are ``long``, and no others have so many.
     """
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -177,7 +179,7 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
 
     kept = stored.where("n > 0").select("node", "n", "prefix")
     counted = kept.mapInArrow(lambda b: _counted(b, prefix_columns, bits), _BLOCK)
-    seen = spark.sparkContext.broadcast(_bitmaps(counted, bits, [(2, SEEN_BITS)])[0])
+    seen, crowded = map(spark.sparkContext.broadcast, _bitmaps(counted, bits, [(2, SEEN_BITS), (LONG + 1, HOT_BITS)]))
 
     def explode(batches):
         done = set()
@@ -192,7 +194,8 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
                     yield pa.RecordBatch.from_pydict({
                         "col": columns[pos].astype(np.int64), "node": np.full(len(pos), node, np.int64),
                         "n": np.full(len(pos), n, np.int64), "pos": pos.astype(np.int32),
-                        "most": np.full(len(pos), n - len(columns) + len(pos), np.int64)})
+                        "most": np.full(len(pos), n - len(columns) + len(pos), np.int64),
+                        "long": has(crowded.value, columns[pos], HOT_BITS)})
             if len(done) > 1_000_000:
                 done = set()
 
@@ -207,7 +210,7 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    entries = kept.mapInArrow(packed, "col long, node long, n long, pos int, most long")
+    entries = kept.mapInArrow(packed, "col long, node long, n long, pos int, most long, long boolean")
     return stored.select("doc_id", "node", "n"), materialize(entries)
 
 
@@ -379,6 +382,54 @@ def _beside_pivots(pivots: DataFrame, comps: DataFrame | None, share) -> DataFra
     return sums.where((p + q) * (F.col("held") + F.col("beside")) >= p * (F.col("nx") + F.col("ny"))).select("x", "y")
 
 
+_ENTRY = ["col", "node", "n", "pos", "most", "long"]
+
+
+def _size_classes(share) -> list[Column]:
+    """Classes of sizes in two grids, half a class apart, so that rows of like size share one."""
+    scale = F.log(F.col("n").cast("double")) / float(np.log(share[1] / share[0]))
+    return [2 * F.floor(scale), 2 * F.floor(scale + 0.5) + 1]
+
+
+def _leads(lead: Column, share) -> Column:
+    return (F.col("comp") != lead["comp"]) & _can_link(
+        F.col("n"), F.col("most"), lead["n"], lead["most"], share)
+
+
+def _led_short(own: DataFrame, first: Column, share) -> DataFrame:
+    """Live entries of short columns with the leading rows they meet, ``with``.
+
+    Rows move once, by column; a column has no more than LONG of them.
+    """
+    column = Window.partitionBy("col")
+    live = own.select(
+        "*", F.min("comp").over(column).alias("_low"), F.max("comp").over(column).alias("_high"),
+        F.min("n").over(column).alias("_least")).where("_low <> _high").where(
+        _can_link(F.col("n"), F.col("most"), F.col("_least"), F.col("most"), share))
+    row = F.struct(first.alias("o"), "node", "comp", "n", "most")
+    for i, size in enumerate(_size_classes(share)):
+        live = live.withColumn(f"_size{i}", size).withColumn(
+            f"_lead{i}", F.min(row).over(Window.partitionBy("col", f"_size{i}")))
+    leads = [F.when(_leads(F.col(f"_lead{i}"), share), F.col(f"_lead{i}.node")) for i in range(2)]
+    return live.select(*_ENTRY, "comp", F.array_compact(F.array(*leads)).alias("with"))
+
+
+def _led_long(own: DataFrame, first: Column, share) -> DataFrame:
+    """As :func:`_led_short` for long columns, by aggregates that combine before rows move."""
+    ends = own.groupBy("col").agg(
+        F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("n").alias("_least")).where("_low <> _high")
+    live = own.join(ends, "col").where(
+        _can_link(F.col("n"), F.col("most"), F.col("_least"), F.col("most"), share))
+    classed = live.select(*own.columns, F.explode(F.array(*_size_classes(share))).alias("size"))
+    lead = classed.groupBy("col", "size").agg(F.min(F.struct(
+        first.alias("o"), "node", "comp", "n", "most")).alias("lead"))
+    # One row an entry again: the class in the first grid carries what is stored, the other its leading row.
+    led = classed.join(lead, ["col", "size"])
+    with_ = F.when(_leads(F.col("lead"), share), F.array("lead.node")).otherwise(F.array().cast("array<bigint>"))
+    return led.select(*[F.when(F.col("size") % 2 == 0, F.col(c)).alias(c) if c == "col" else F.col(c)
+                        for c in _ENTRY], "comp", with_.alias("with"))
+
+
 def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame | None:
     """Verified links (x, y) that have the same components as all links; None if there are none."""
     found: list[DataFrame] = []
@@ -389,24 +440,15 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
     p, q = share
     while True:
         own = _with_comp(live, comps)
-        ends = own.groupBy("col").agg(
-            F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("n").alias("_least")).where("_low <> _high")
+        # A leading row for each class of sizes. It is the row with fewest columns of its own, as the
+        # original of many copies has, and in later rounds one by hash.
+        first = F.col("n") - F.col("most") if turn == 0 else F.xxhash64("node", F.lit(turn))
         # Entries of columns that still hold several components, without those that can link with no
         # row of the column.
-        live = materialize(own.join(ends, "col").where(
-            _can_link(F.col("n"), F.col("most"), F.col("_least"), F.col("most"), share)).select(*own.columns))
-        # A leading row for each class of sizes; classes come in two grids, so rows of like size
-        # share one. It is the row with fewest columns of its own, as the original of many copies has, and
-        # in later rounds one by hash.
-        first = F.col("n") - F.col("most") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        scale = F.log(F.col("n").cast("double")) / float(np.log(q / p))
-        classed = live.withColumn("size", F.explode(F.array(
-            2 * F.floor(scale), 2 * F.floor(scale + 0.5) + 1)))
-        lead = classed.groupBy("col", "size").agg(F.min(F.struct(
-            first.alias("o"), "node", "comp", "n", "most")).alias("lead"))
-        star = classed.join(lead, ["col", "size"]).where(F.col("comp") != F.col("lead.comp")).where(
-            _can_link(F.col("n"), F.col("most"), F.col("lead.n"), F.col("lead.most"), share)).select(
-            "node", F.col("lead.node").alias("with"))
+        led = materialize(_led_short(own.where("NOT long"), first, share).union(
+            _led_long(own.where("long"), first, share)))
+        live = led.where("col IS NOT NULL").drop("with")
+        star = led.select("node", F.explode("with").alias("with"))
         if turn:
             last = HARVEST * fresh_links <= fresh_pairs
             if last:
@@ -443,7 +485,7 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
                 comps = components(reduce(DataFrame.union, found))
         if last:
             break
-        live = live.select("col", "node", "n", "pos", "most")
+        live = live.select(_ENTRY)
         turn += 1
     return reduce(DataFrame.union, found) if found else None
 
