@@ -305,12 +305,11 @@ def _linked(tested: DataFrame, share) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for all ends of ``edges`` (x, y): comp is the least node reachable.
 
-    Alternates two star operations, each a minimum per node and a join, on stored tables, until nothing
-    changes; the rounds grow with the logarithm of the longest path.
+    Alternates two star operations, each a minimum per node and a join, on stored tables, until only stars
+    are left; the rounds grow with the logarithm of the longest path.
     """
     now = materialize(edges.where("x <> y").select(
         F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-    state = None
     while True:
         both = now.union(now.select("b", "a").toDF("a", "b"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -321,10 +320,10 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))).distinct()
         now = materialize(small)
-        sums = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(sums) == state:
+        # Stars: every node names one centre, and a centre names itself.
+        names = now.union(now.select("b", "b")).groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        if names.where("low <> high").isEmpty():
             break
-        state = tuple(sums)
     return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
@@ -423,16 +422,15 @@ def _led_long(own: DataFrame, first: Column, share) -> DataFrame:
     classed = live.select(*own.columns, F.explode(F.array(*_size_classes(share))).alias("size"))
     lead = classed.groupBy("col", "size").agg(F.min(F.struct(
         first.alias("o"), "node", "comp", "n", "most")).alias("lead"))
-    # One row an entry again: the class in the first grid carries what is stored, the other its leading row.
-    led = classed.join(lead, ["col", "size"])
+    # An entry has two rows here, one for each grid; the second, without a column, only brings its leading row.
     with_ = F.when(_leads(F.col("lead"), share), F.array("lead.node")).otherwise(F.array().cast("array<bigint>"))
-    return led.select(*[F.when(F.col("size") % 2 == 0, F.col(c)).alias(c) if c == "col" else F.col(c)
-                        for c in _ENTRY], "comp", with_.alias("with"))
+    return classed.join(lead, ["col", "size"]).withColumn("col", F.when(F.col("size") % 2 == 0, F.col("col"))).select(
+        *_ENTRY, "comp", with_.alias("with"))
 
 
 def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame | None:
-    """Verified links (x, y) that have the same components as all links; None if there are none."""
-    found: list[DataFrame] = []
+    """Pairs (x, y) that have the same components as all verified links; None if there are none."""
+    known = None  # the components so far as stars, and the links found since
     tested: list[DataFrame] = []  # pairs in both directions
     pivots = None
     comps, turn = None, 0
@@ -480,14 +478,15 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
         fresh_links, fresh_pairs = new.count(), fresh.count()
         tested += [fresh, fresh.select("y", "x").toDF("x", "y")]
         if fresh_links:
-            found.append(new)
+            known = new if known is None else known.union(new)
             if not last:
-                comps = components(reduce(DataFrame.union, found))
+                comps = materialize(components(known))
+                known = comps.where("node <> comp").toDF("x", "y")
         if last:
             break
         live = live.select(_ENTRY)
         turn += 1
-    return reduce(DataFrame.union, found) if found else None
+    return known
 
 
 def ngram_components(documents: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame:
