@@ -40,8 +40,12 @@ def state_dictionary(events: DataFrame, rule=without_spaces, mapping: DataFrame
     """Each distinct state of the log once, with its canonical text and number of uses.
 
     ``mapping(raw, canonical)`` may hold translations made elsewhere; states it does not
-    know fall back to ``rule``.
+    know fall back to ``rule``. A ``raw`` given twice is an error.
     """
+    if mapping is not None:
+        again = mapping.where(F.col("raw").isNotNull()).groupBy("raw").count().where("count > 1").first()
+        if again is not None:
+            raise ValueError(f"the state mapping has {again['count']} rows for {again.raw!r}")
     states = (
         events.where(F.col("eventType").isin(*STATE_EVENTS))
         .select(F.explode(F.array("oldState", "newState")).alias("raw"))

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import group_sizes, materialize, same_hot_key
+from ..runtime import group_sizes, materialize, same_hot_key, small_broadcast
 
 SEGMENT = "_segment"
 
@@ -241,7 +241,7 @@ class Lanes:
         sizes = group_sizes(df, [key])
         if sizes.hot is None:
             return cls(df.repartition(key), None, sizes.limit, sizes.largest)
-        hot_keys = F.broadcast(sizes.hot.drop("n"))
+        hot_keys = small_broadcast(sizes.hot).drop("n")
         plain = df.join(hot_keys, same_hot_key([key]), "left_anti").repartition(key)
         hot = df.join(hot_keys, same_hot_key([key]), "left_semi")
         per_segment = max(1, sizes.limit // 2)

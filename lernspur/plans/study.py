@@ -22,9 +22,17 @@ from .outputs import check_formats, study_info_lines, write_study_info, write_ta
 log = logging.getLogger(__name__)
 
 
+def _checked(events: DataFrame, tasks: DataFrame) -> DataFrame:
+    check_tasks(events, tasks)
+    return events
+
+
 def problem_graphs(events: DataFrame | Lanes, tasks: DataFrame) -> ProblemGraphs:
-    """Transition graphs of a log whose visits are not yet normalised."""
-    lanes = events if isinstance(events, Lanes) else event_lanes(events)
+    """Transition graphs of a log whose visits are not yet normalised.
+
+    Tasks are checked as in :func:`aggregate_events`.
+    """
+    lanes = events if isinstance(events, Lanes) else event_lanes(_checked(events, tasks))
     return ProblemGraphs(attempt_paths(path_events(normalize_visits(lanes)), tasks).store())
 
 
@@ -33,9 +41,10 @@ def aggregate_events(events: DataFrame | Lanes, tasks: DataFrame) -> tuple[DataF
 
     Both branches, attempts and paths, start from the normalised log. It is kept on the
     executors' disks in its hash partitioning meanwhile, so the log is shuffled once. The
-    attempt rows are stored, as both results are made from them.
+    attempt rows are stored, as both results are made from them. Every task number of the
+    events needs exactly one row in ``tasks``, else this is a ValueError; lanes come checked.
     """
-    lanes = events if isinstance(events, Lanes) else event_lanes(events)
+    lanes = events if isinstance(events, Lanes) else event_lanes(_checked(events, tasks))
     normalized = normalize_visits(lanes).persist()
     try:
         paths = attempt_paths(path_events(normalized), tasks).store()
@@ -101,7 +110,7 @@ def run_study(
     save(events.drop("seq"), "event_logs")
     check_tasks(events, tasks)
 
-    attempts, student_problem = aggregate_events(events, tasks.select("taskNumber", "startState", "goalState"))
+    attempts, student_problem = aggregate_events(event_lanes(events), tasks.select("taskNumber", "startState", "goalState"))
     save(attempts, "attempt_level")
     student_problem = materialize(student_problem)
     save(student_problem, "student_problem")

@@ -15,10 +15,6 @@ BROADCAST_ROWS = ("spark.lernspur.broadcastRows", 500_000)
 FOLD_EVENTS = ("spark.lernspur.foldEvents", 1_000)
 HOP_ROUNDS = ("spark.lernspur.hopRounds", 24)
 
-# At most this many groups can be hot, whatever the size of a table: the hot-key table that
-# is broadcast, and the pieces that hot groups are split into, are bounded by it.
-MAX_HOT_GROUPS = 50_000
-
 
 def setting(spark: SparkSession, key: tuple[str, int]) -> int:
     return int(spark.conf.get(key[0], str(key[1])))
@@ -76,14 +72,19 @@ class GroupSizes:
 def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
     """Find the groups with too many rows for one task; only the key columns are read."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    limit = max(setting(df.sparkSession, HOT_ROWS), (total or 0) // MAX_HOT_GROUPS)
+    largest = sizes.agg(F.max("n")).first()[0]
+    limit = setting(df.sparkSession, HOT_ROWS)
     if (largest or 0) <= limit:
         return GroupSizes(limit, largest or 0, None)
     hot = sizes.where(F.col("n") > limit).withColumnsRenamed({k: f"_hot_{k}" for k in keys})
     return GroupSizes(limit, largest, materialize(hot))
 
 
+def small_broadcast(stored: DataFrame) -> DataFrame:
+    """``stored`` with a broadcast hint where its counted rows allow it, else as it is, for a shuffle join."""
+    return F.broadcast(stored) if rows_of(stored) <= setting(stored.sparkSession, BROADCAST_ROWS) else stored
+
+
 def same_hot_key(keys: list[str]):
     return F.expr(" AND ".join(f"{k} <=> _hot_{k}" for k in keys))
 
@@ -106,8 +107,9 @@ def join_lookup(
     sizes = group_sizes(big, keys)
     if sizes.hot is None:
         return big.join(small, keys, how)
-    marks = F.broadcast(sizes.hot.select(
-        *[f"_hot_{k}" for k in keys], F.ceil(F.col("n") / sizes.limit).alias("_salts")))
+    marks = sizes.hot.select(*[f"_hot_{k}" for k in keys], F.ceil(F.col("n") / sizes.limit).alias("_salts"))
+    if rows_of(sizes.hot) <= setting(big.sparkSession, BROADCAST_ROWS):
+        marks = F.broadcast(marks)
 
     def marked(df):
         return df.join(marks, same_hot_key(keys), "left").drop(*[f"_hot_{k}" for k in keys])

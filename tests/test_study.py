@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lernspur import (
+    aggregate_events, problem_graphs,
     bundle_manifest, key_inventory, read_by_task, read_events, read_roster, read_study, read_tasks,
     run_study, task_metadata, union_studies, write_by_task,
 )
@@ -17,7 +18,7 @@ from lernspur.plans.queries import QUERIES
 from lernspur.runtime import table_root
 from lernspur.schemas import BUNDLE_FILES
 from lernspur.sources.clickstream import LOG_COLUMNS, clickstream_lanes
-from lernspur.sources.files import bundle_path, clean_attempt_export, fill_optional
+from lernspur.sources.files import bundle_path, clean_attempt_export, event_types, fill_optional
 
 
 @pytest.fixture(scope="module")
@@ -164,6 +165,23 @@ def test_task_checks(spark):
         quality.check_tasks(used, tasks)
 
 
+def test_entry_points_check_tasks(spark):
+    events = event_types(spark.createDataFrame([(1, "s"), (2, "s")], "taskNumber int, studentSessionId string"))
+    one = "taskNumber int, startState string, goalState string"
+    for rows in ([(1, "S", "G")], [(1, "S", "G"), (2, "S", "G"), (2, "S", "H")]):
+        tasks = spark.createDataFrame(rows, one)
+        for entry in (aggregate_events, problem_graphs):
+            with pytest.raises(ValueError, match="task number 2"):
+                entry(events, tasks)
+
+
+def test_mapping_names_a_state_once(spark):
+    events = spark.createDataFrame([("mathEvent", "a", "b")], "eventType string, oldState string, newState string")
+    mapping = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "raw string, canonical string")
+    with pytest.raises(ValueError, match="'a'"):
+        st.state_dictionary(events, mapping=mapping)
+
+
 @pytest.mark.parametrize("raw, latex", [
     (r"$15 \cdot c+10$", "15c+10"),
     (r"3\cdot 5\cdot c", r"3\cdot 5c"),
