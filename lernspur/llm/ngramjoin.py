@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lernspur.runtime import materialize
+from lernspur.runtime import materialize, rows_of
 
 from .text import shingle_sets, word_hashes
 
@@ -43,6 +43,7 @@ HOT_BITS, SEEN_BITS, NODE_BITS = 24, 27, 24
 BLOCK_BYTES = 4 << 20  # text per block of columns, about
 LONG = 1000  # a column with more entries than this is never gathered in one task
 HARVEST = 8  # rounds go on while one in so many of their pairs links
+FEW_EDGES = 1_000_000  # so many edges, of two numbers each, are contracted in one task, without shuffles
 
 
 def least_overlap(a, b, share=SHARE):
@@ -297,35 +298,43 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
 _TESTED = "x long, y long, shared long, nx long, ny long, own array<bigint>"
 
 
-def _linked(tested: DataFrame, share) -> DataFrame:
+def _is_link(share) -> Column:
     p, q = share
-    return tested.where((p + q) * F.col("shared") >= p * (F.col("nx") + F.col("ny"))).select("x", "y")
+    return (p + q) * F.col("shared") >= p * (F.col("nx") + F.col("ny"))
+
+
+def _linked(tested: DataFrame, share) -> DataFrame:
+    return tested.where(_is_link(share)).select("x", "y")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None, few: int = FEW_EDGES) -> DataFrame:
     """(node, comp) for all ends of ``edges`` (x, y): comp is the least node reachable.
 
     Alternates two star operations, each a minimum per node and a join, on stored tables, until only stars
-    are left; the rounds grow with the logarithm of the longest path.
+    are left; the rounds grow with the logarithm of the longest path. ``rows`` is an upper bound for the
+    edges: up to ``few`` are kept in one partition, which needs no shuffle; more, or an unknown number, are not.
     """
-    now = materialize(edges.where("x <> y").select(
-        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    def placed(df):
+        return df.coalesce(1) if rows is not None and rows <= few else df
+
+    now = placed(materialize(placed(edges).where("x <> y").select(
+        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()))
     while True:
-        both = now.union(now.select("b", "a").toDF("a", "b"))
+        both = placed(now.union(now.select("b", "a").toDF("a", "b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large.where("a <> b"))
+        large = placed(materialize(large.where("a <> b")))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b"))).distinct()
-        now = materialize(small)
+        small = placed(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+            least.select("a", F.col("m").alias("b")))).distinct()
+        now = placed(materialize(small))
         # Stars: every node names one centre, and a centre names itself.
-        names = now.union(now.select("b", "b")).groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        names = placed(now.union(now.select("b", "b"))).groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
         if names.where("low <> high").isEmpty():
             break
-    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
-        now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
+    return placed(now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
+        placed(now.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()))
 
 
 def _with_comp(entries: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -429,8 +438,7 @@ def _led_long(own: DataFrame, first: Column, share) -> DataFrame:
 
 
 def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame | None:
-    """Pairs (x, y) that have the same components as all verified links; None if there are none."""
-    known = None  # the components so far as stars, and the links found since
+    """(node, comp) of all rows with verified links, stored; None if there are none."""
     tested: list[DataFrame] = []  # pairs in both directions
     pivots = None
     comps, turn = None, 0
@@ -469,24 +477,23 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
                 F.max(F.struct("shared", "x", "y")).alias("b")).select("b.x", "b.y").distinct()
         fresh = materialize(fresh.select("x", "y").distinct())
         done = verified(documents, fresh, width, share)
-        new = materialize(_linked(done, share))
+        new = _linked(done, share)
         if turn == 0:
             # What is known of each row by its first leading row, where they are alike.
             pivots = done.where("own IS NOT NULL").select(
                 F.col("x").alias("node"), F.col("nx").alias("n"), F.col("y").alias("pivot"),
                 F.col("shared").alias("held"), "own")
-        fresh_links, fresh_pairs = new.count(), fresh.count()
+        fresh_pairs, fresh_links = done.agg(F.count(F.lit(1)), F.count_if(_is_link(share))).first()
         tested += [fresh, fresh.select("y", "x").toDF("x", "y")]
         if fresh_links:
-            known = new if known is None else known.union(new)
-            if not last:
-                comps = materialize(components(known))
-                known = comps.where("node <> comp").toDF("x", "y")
+            # The components so far are stars; with the new links they are contracted again.
+            stars = [] if comps is None else [comps.where("node <> comp").toDF("x", "y")]
+            nodes = fresh_links + (rows_of(comps) if stars else 0)
+            comps = materialize(components(reduce(DataFrame.union, stars, new), nodes))
         if last:
-            break
+            return comps
         live = live.select(_ENTRY)
         turn += 1
-    return known
 
 
 def ngram_components(documents: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame:
@@ -498,11 +505,7 @@ def ngram_components(documents: DataFrame, width: int = WIDTH, share=SHARE) -> D
     null ids are never the smallest, and a component without any other id has null. One row per input row.
     """
     members, entries = incidence(documents, width, share)
-    found = links(documents, entries, width, share)
-    own = members.withColumn("comp", F.col("node"))
-    if found is not None:
-        comps = components(found)
-        own = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    own = _with_comp(members, links(documents, entries, width, share))
     own = own.select("doc_id", F.col("n").alias("n_shingles"), "comp")
     least = own.where("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return own.join(least, "comp", "left").select(

@@ -93,6 +93,19 @@ def test_join_family(spark, monkeypatch):
     check_join(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_components_of_few_and_many(spark):
+    """A chain, a ring, stars, loops and repeated edges, in one partition and by shuffles."""
+    chain = [(i, i + 1) for i in range(-40, 40)]
+    ring = [(100 + i, 100 + (i + 1) % 9) for i in range(9)]
+    edges = [*chain, *ring, *[(300, 300 + i) for i in range(1, 30)], (400, 400), (500, 501), (501, 500), (500, 501)]
+    df = spark.createDataFrame(edges, "x long, y long").repartition(5)
+    want = {i: -40 for i in range(-40, 41)} | {100 + i: 100 for i in range(9)} | {300 + i: 300 for i in range(30)}
+    want |= {500: 500, 501: 500}
+    for rows, few in ((len(edges), 1_000), (len(edges), 10), (None, 1_000)):
+        got = [tuple(r) for r in ngramjoin.components(df, rows, few).collect()]
+        assert len(got) == len(want) and dict(got) == want
+
+
 # ---- token file
 
 def test_token_file(spark, corpus, odd):
