@@ -30,17 +30,19 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lernspur.runtime import materialize, rows_of
 
-from .text import shingle_sets, word_hashes
+from .text import column_bytes, shingle_sets, word_hashes
 
 WIDTH = 5
 SHARE = (80, 100)
 HOT = 48  # a column in more prefixes than this is frequent
 HOT_BITS, SEEN_BITS, NODE_BITS = 24, 27, 24
 BLOCK_BYTES = 4 << 20  # text per block of columns, about
+PIECE_BYTES = 2 << 20  # text, or sets, that a Python worker has in hand at a time, about; a longer one comes alone
 LONG = 1000  # a column with more entries than this is never gathered in one task
 HARVEST = 8  # rounds go on while one in so many of their pairs links
 FEW_EDGES = 1_000_000  # so many edges, of two numbers each, are contracted in one task, without shuffles
@@ -66,8 +68,20 @@ def set_number(shingles: np.ndarray) -> int:
 
 
 def _sets(batch, width):
-    words, offsets, _ = word_hashes(batch.column("text"))
-    return shingle_sets(words, offsets, width)
+    text = batch.column("text")
+    for at, n in _pieces(column_bytes(text)[1]):
+        words, offsets, _ = word_hashes(text.slice(at, n))
+        yield from shingle_sets(words, offsets, width)
+
+
+def _pieces(ends: np.ndarray):
+    """(first row, rows) of the pieces of a batch whose rows' bytes end at ``ends[1:]``."""
+    at = 0
+    while at < len(ends) - 1:
+        n = int(np.searchsorted(ends, ends[at] + PIECE_BYTES, side="right")) - 1 - at
+        n = min(max(n, 1), len(ends) - 1 - at)
+        yield at, n
+        at += n
 
 
 # ---------------------------------------------------------------- column counts
@@ -247,8 +261,13 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
 
     def sets(batches):
         done = set()
+
+        def out(nodes, packed):
+            return pa.RecordBatch.from_pydict(
+                {"node": nodes, "set": packed}, pa.schema([("node", pa.int64()), ("set", pa.binary())]))
+
         for batch in batches:
-            nodes, packed = [], []
+            nodes, packed, held = [], [], 0
             for own in _sets(batch, width):
                 node = set_number(own)
                 slot = (node & ((1 << 64) - 1)) >> (64 - NODE_BITS)
@@ -258,8 +277,11 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
                 nodes.append(node)
                 # The leading 48 bits of each column, still in order.
                 packed.append(np.ascontiguousarray(own.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes())
-            yield pa.RecordBatch.from_pydict(
-                {"node": nodes, "set": packed}, pa.schema([("node", pa.int64()), ("set", pa.binary())]))
+                held += len(packed[-1])
+                if held > PIECE_BYTES:
+                    yield out(nodes, packed)
+                    nodes, packed, held = [], [], 0
+            yield out(nodes, packed)
             if len(done) > 1_000_000:
                 done = set()
 
@@ -275,22 +297,28 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
         return out.view(">u8").ravel().astype(np.uint64)
 
     def overlaps(batches):
-        for batch in batches:
-            rows, last, ys = {"shared": [], "nx": [], "ny": [], "own": []}, None, None
-            for y, a, b in zip(*(batch.column(c).to_pylist() for c in ("y", "sx", "sy"))):
-                if y != last:
-                    last, ys = y, wide(b)
-                xs = wide(a)
-                at = np.searchsorted(ys, xs)
-                at[at == len(ys)] = 0
-                hit = ys[at] == xs
-                shared = int(hit.sum())
-                near = 3 * shared >= len(xs) + len(ys)
-                for key, v in zip(rows, (shared, len(xs), len(ys), xs[~hit].astype(np.int64).tolist() if near else None)):
-                    rows[key].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("x"), batch.column("y"), *(pa.array(rows[c], pa.int64()) for c in ("shared", "nx", "ny")),
-                 pa.array(rows["own"], pa.list_(pa.int64()))], names=["x", "y", "shared", "nx", "ny", "own"])
+        for whole in batches:
+            bytes_to = np.cumsum([0, *np.add(*(pc.binary_length(whole.column(c)).to_numpy() for c in ("sx", "sy")))])
+            for at, n in _pieces(bytes_to):
+                yield overlap(whole.slice(at, n))
+
+    def overlap(batch):
+        counts, own, last, ys = {"shared": [], "nx": [], "ny": []}, [], None, None
+        for y, a, b in zip(*(batch.column(c).to_pylist() for c in ("y", "sx", "sy"))):
+            if y != last:
+                last, ys = y, wide(b)
+            xs = wide(a)
+            at = np.searchsorted(ys, xs)
+            at[at == len(ys)] = 0
+            hit = ys[at] == xs
+            shared = int(hit.sum())
+            near = 3 * shared >= len(xs) + len(ys)
+            for key, v in zip(counts, (shared, len(xs), len(ys))):
+                counts[key].append(v)
+            own.append(xs[~hit].astype(np.int64) if near else None)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("x"), batch.column("y"), *(pa.array(v, pa.int64()) for v in counts.values()),
+             pa.array(own, pa.list_(pa.int64()))], names=["x", "y", "shared", "nx", "ny", "own"])
 
     return materialize(both.mapInArrow(overlaps, _TESTED))
 
