@@ -236,6 +236,21 @@ def test_leaks_corpus(spark, data, corpus, odd, empty):
     assert decontam.leaks(odd, bench).count() == 0 and decontam.leaks(empty, bench).count() == 0
 
 
+def leaks_of(spark, item, *texts):
+    """Numbers of the texts that hold the item."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id for r in decontam.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+
+
+def test_leaks_with_other_lengths(spark):
+    item = ("one day the old farmer called Bob went to the market of the small town with 12 fresh eggs and sold half of them "
+            "to the baker before he came home again in the dark")
+    assert leaks_of(
+        spark, item, item.replace("and sold", "and then sold"), item.replace("Bob", "Mary Ann"), item.replace("fresh ", ""),
+        item.replace("and sold", "and on this very fine and warm day sold"), "before he came home again in the dark he slept",
+    ) == {0, 1, 2, 3}
+
+
 # ---- fingerprints
 
 def test_fingerprints(corpus, odd):
