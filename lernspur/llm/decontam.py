@@ -25,6 +25,7 @@ from .text import SLICE, _LOWER, _SPACE, column_bytes, edges, hash_runs, mix
 WIDTH = 8
 LEAST_COVER = 0.5
 BITMAP_BITS = 1 << 26
+LEXICON_BITS = 1 << 24
 
 # Unit words, lower case without punctuation.
 UNITS = ["mm", "cm", "m", "km", "in", "ft", "mi", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr",
@@ -54,7 +55,7 @@ def _units() -> np.ndarray:
 class Tokens:
     """Tokens of joined texts; ``borders`` are the byte offsets of the texts.
 
-    value (hash), number, capital, begin (starts a sentence or line), stop (a sentence ends before it), of (text).
+    value (hash), number, capital, lower (case of the first letter), begin (starts a sentence or line), stop (a sentence ends before it), of (text).
     A capital token has a capital first letter and lower case after it.
     """
 
@@ -71,7 +72,7 @@ class Tokens:
         ends = np.union1d(np.flatnonzero(change == -1), np.flatnonzero(cut[1:] & solid[:-1]) + 1)
         if not len(starts):
             self.value, self.of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            self.number = self.capital = self.begin = self.stop = self.unit = np.zeros(0, bool)
+            self.number = self.capital = self.lower = self.begin = self.stop = self.unit = np.zeros(0, bool)
             return
         low = _LOWER[text]
         value, at = np.empty(len(starts), np.uint64), 0
@@ -89,6 +90,7 @@ class Tokens:
         next_at = np.minimum(starts + 1 + wide, len(text) - 1)
         lower_next = (text[next_at] >= 97) & (text[next_at] <= 122) | (text[next_at] == 0xC3)
         self.capital = (((head >= 65) & (head <= 90)) | wide) & lower_next & (sizes > 1 + wide)
+        self.lower = (head >= 97) & (head <= 122) | (head == 0xC3) & (after >= 0x9F)
         # A stop between the last word and this one, or the text's beginning, starts a sentence.
         self.begin, self.stop = (self._after(x, data, kept, starts, ends, own) for x in (_STOP, _END))
         units = _units()
@@ -155,22 +157,48 @@ def _hashes(token: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def _readings(tokens: Tokens):
-    """Templates of the tokens: a name is a capital token that does not start a sentence or line."""
-    return [Template(tokens, tokens.capital & ~tokens.begin)]
+def _readings(tokens: Tokens, lexicon: tuple[np.ndarray, np.ndarray]):
+    """The two templates of the tokens, which differ in capital tokens that the lexicon does not know.
+
+    The benchmark's names are names everywhere, in any case. Other capital tokens are names wherever they
+    stand, unless the benchmark knows them as words; in the second reading they are words where they start
+    a sentence or line. Either reading may hit.
+    """
+    names, words = lexicon
+    sure = _in(names, tokens.value)
+    return [Template(tokens, sure | tokens.capital & ~_in(words, tokens.value)),
+            Template(tokens, sure | tokens.capital & ~tokens.begin)]
+
+
+def _lexicon(benchmark: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the benchmark's names (capital inside a sentence, never in lower case) and words (the opposite)."""
+
+    def cut(batches):
+        for batch in batches:
+            data, offsets, _ = column_bytes(batch.column("text"))
+            for i, j in spans_of(offsets, 2 * SLICE):
+                tokens = Tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(tokens.value.astype(np.int64)), pa.array(tokens.capital & ~tokens.begin),
+                    pa.array(tokens.lower)], names=["hash", "name", "word"])
+
+    seen = benchmark.select("text").mapInArrow(cut, "hash long, name boolean, word boolean") \
+        .groupBy("hash").agg(F.max("name").alias("name"), F.max("word").alias("word"))
+    return (_bitmap(seen.where("name AND NOT word"), LEXICON_BITS), _bitmap(seen.where("word AND NOT name"), LEXICON_BITS))
 
 
 _ITEM = ("iid long, item_id long, hash long, at int, width int, exact boolean, kinds array<tinyint>, firsts array<bigint>, "
          "lasts array<bigint>, pos array<int>, n int, t int, tokens int")
 
 
-def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, lexicon, width: int = WIDTH) -> DataFrame:
     """Windows of every item.
 
     iid (row number), item_id, hash, at (first raw token), width, exact, kinds, firsts, lasts, pos (last raw token
     of each run), n (all windows), t (those with a template), tokens. An item shorter than ``width`` is one window.
     Null and empty items have none.
     """
+    known = benchmark.sparkSession.sparkContext.broadcast(lexicon)
 
     def cut(batches):
         for batch in batches:
@@ -180,7 +208,7 @@ def benchmark_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
                 tokens = Tokens(data, np.array([0, len(data)]))
                 size = len(tokens.value)
                 found = {}
-                for t in _readings(tokens) if size else []:
+                for t in _readings(tokens, known.value) if size else []:
                     w = min(width, len(t.token))
                     for a, h in zip(*t.windows(w)):
                         s = slice(a, a + w)
@@ -223,14 +251,14 @@ def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 _HIT = "rid long, doc_id long, hash long, start int, firsts array<bigint>, lasts array<bigint>"
 
 
-def document_windows(documents: DataFrame, bitmap: np.ndarray, widths: list[tuple[int, bool]]) -> DataFrame:
+def document_windows(documents: DataFrame, lexicon, bitmap: np.ndarray, widths: list[tuple[int, bool]]) -> DataFrame:
     """Windows of all documents whose hash is in the bitmap: rid (row number), doc_id, hash, start, firsts, lasts."""
-    shared = documents.sparkSession.sparkContext.broadcast(bitmap)
+    shared = documents.sparkSession.sparkContext.broadcast((bitmap, *lexicon))
 
-    def found(tokens, seen):
+    def found(tokens, seen, lexicon):
         """(hash, first raw token, fillers) of windows in the bitmap, each hash and place once."""
         known = set()
-        for t in _readings(tokens):
+        for t in _readings(tokens, lexicon):
             for n in [n for n, exact in widths if not exact]:
                 at, own = t.windows(n)
                 hit = np.flatnonzero(_in(seen, own))
@@ -243,12 +271,12 @@ def document_windows(documents: DataFrame, bitmap: np.ndarray, widths: list[tupl
                     yield own[h], t.start[at[h]], t.first[place], t.last[place]
 
     def cut(batches):
-        seen = shared.value
+        seen, *lexicon = shared.value
         for batch in batches:
             data, offsets, _ = column_bytes(batch.column("text"))
             for i, j in spans_of(offsets, 2 * SLICE):
                 tokens = Tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                for own, start, first, last in found(tokens, seen):
+                for own, start, first, last in found(tokens, seen, lexicon):
                     row = pa.array(tokens.of[start] + i)
                     head = np.searchsorted(tokens.of, tokens.of[start], side="left")
                     lists = np.arange(0, first.size + 1, first.shape[1], dtype=np.int32) if first.size else np.zeros(len(own) + 1, np.int32)
@@ -270,10 +298,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, cover:
     ``changed`` the number of fillers that differ from the item's. One row per document id and item;
     rows with equal ids, nulls included, are judged apart, and the best of them is returned.
     """
-    items = benchmark_windows(benchmark, width)
+    lexicon = _lexicon(benchmark)
+    items = benchmark_windows(benchmark, lexicon, width)
     bitmap = _bitmap(items, bits)
     widths = sorted((r.width, r.exact) for r in items.select("width", "exact").distinct().collect())
-    found = document_windows(documents, bitmap, widths).alias("d").join(
+    found = document_windows(documents, lexicon, bitmap, widths).alias("d").join(
         items.alias("b"), F.col("d.hash") == F.col("b.hash"))
     hits = materialize(found.select(
         "rid", "doc_id", "iid", "item_id", (F.col("start") - F.col("at")).alias("origin"), "at", "exact", "n", "t", "tokens",

@@ -251,6 +251,14 @@ def test_leaks_with_other_lengths(spark):
     ) == {0, 1, 2, 3}
 
 
+def test_leaks_with_names_anywhere(spark):
+    short = "Tom has 3 apples. Tom eats 2 of the apples. Tom buys 9 more apples. How many apples are left?"
+    assert leaks_of(spark, short, short.replace("Tom", "Anna").replace("3", "8"), "so we ask, " + short,
+                    "Henry reads a long book about apples. It is left in the house.") == {0, 1}
+    item = "the train was late when Tom and his friend Mary reached the station at 9 in the cold rain of the night"
+    assert leaks_of(spark, item, item.lower().replace("9", "7"), item.upper(), item.replace(" ", "\n")) == {0, 1, 2}
+
+
 # ---- fingerprints
 
 def test_fingerprints(corpus, odd):
