@@ -5,7 +5,8 @@ placeholders. What is left is the template, so an exercise with other numbers or
 Windows of template tokens of all documents are hashed and joined with those of the benchmark. A
 pair of windows gives, for every placeholder, a pair of fillers (benchmark's, document's). Over all
 windows at about one place these must be a one-to-one renaming; else the match is chance. A run of
-placeholders of one kind is one token, so a name may have another number of words.
+placeholders of one kind is one token, so a name may have another number of words. Windows of the
+plain tokens are joined as well, so verbatim copies are found whatever they are made of.
 
 A bitmap of the benchmark's windows, of fixed size, lets tasks drop windows that cannot match before
 anything is shuffled; false positives end in the join.
@@ -212,11 +213,16 @@ def benchmark_windows(benchmark: DataFrame, lexicon, width: int = WIDTH) -> Data
                     w = min(width, len(t.token))
                     for a, h in zip(*t.windows(w)):
                         s = slice(a, a + w)
+                        if 2 * (t.kind[s] == WORD).sum() < t.end[a + w - 1] - t.start[a]:
+                            continue  # too few words when runs are not merged
                         found[int(t.start[a]), int(h.astype(np.int64)), False] = (
                             w, t.kind[s].tolist(), *(x[s].astype(np.int64).tolist() for x in (t.first, t.last, t.end - 1)))
                 good = len({a for a, _, _ in found})
+                w = min(width, size)
+                for a, h in enumerate(_hashes(tokens.value, w).astype(np.int64).tolist() if size else []):
+                    found[a, h, True] = (w, [], [], [], [])
                 for (a, h, exact), (w, *lists) in found.items():
-                    for key, x in zip(rows, (iid, item, h, a, w, exact, *lists, good, good, size)):
+                    for key, x in zip(rows, (iid, item, h, a, w, exact, *lists, max(size - width, 0) + 1, good, size)):
                         rows[key].append(x)
             yield pa.RecordBatch.from_pydict(rows, _item_schema())
 
@@ -258,6 +264,12 @@ def document_windows(documents: DataFrame, lexicon, bitmap: np.ndarray, widths:
     def found(tokens, seen, lexicon):
         """(hash, first raw token, fillers) of windows in the bitmap, each hash and place once."""
         known = set()
+        for n in [n for n, exact in widths if exact]:
+            own = _hashes(tokens.value, n)
+            hit = np.flatnonzero((tokens.of[n - 1:] == tokens.of[:len(own)]) & _in(seen, own)) if len(own) else []
+            for k in range(0, len(hit), 50_000):
+                h = hit[k:k + 50_000]
+                yield own[h], h, *[np.zeros((len(h), 0), np.uint64)] * 2
         for t in _readings(tokens, lexicon):
             for n in [n for n, exact in widths if not exact]:
                 at, own = t.windows(n)
@@ -316,14 +328,18 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, cover:
     order = Window.partitionBy(*own).orderBy("origin")
     hits = hits.withColumn("_new", F.coalesce(F.col("origin") - F.lag("origin").over(order) > near, F.lit(False)).cast("long")) \
         .withColumn("_chain", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # Level 2 is the whole document, where only equal windows count.
     levels = F.array(*[F.struct(F.lit(i).alias("level"), g.cast("long").alias("g")) for i, g in enumerate(
-        (F.col("origin"), F.col("_chain")))])
+        (F.col("origin"), F.col("_chain"), F.lit(2)))])
     hits = hits.withColumn("_l", F.explode(levels)).select("*", "_l.level", "_l.g")
     key = [*own, "level", "g"]
-    each = hits.groupBy(*key, "doc_id", "item_id", "n", "t", "at").agg(F.max((~F.col("exact")).cast("long")).alias("by_t"))
+    each = hits.groupBy(*key, "doc_id", "item_id", "n", "t", "at").agg(F.max((~F.col("exact")).cast("long")).alias("by_t"),
+                                                                    F.max(F.col("exact").cast("long")).alias("by_x"))
     sums = each.groupBy(*key, "doc_id", "item_id", "n", "t").agg(
-        F.count(F.lit(1)).alias("all"), F.sum("by_t").alias("by_t"))
-    share = F.expr("struct(by_t AS windows, CAST(t AS LONG) AS item_windows)")
+        F.expr("if(level = 2, sum(by_x), count(*))").alias("all"), F.expr("if(level = 2, 0L, sum(by_t))").alias("by_t"))
+    # Low-word windows are only found where they are equal, so windows with a template are also judged alone.
+    share = F.expr("""if(t > 0 AND by_t * n > all * t, struct(by_t AS windows, CAST(t AS LONG) AS item_windows),
+                          struct(all AS windows, CAST(n AS LONG) AS item_windows))""")
     sums = sums.withColumn("_s", share).select(*key, "doc_id", "item_id", "_s.*") \
         .where(F.col("windows") >= F.lit(cover) * F.col("item_windows"))
     slots = hits.select(*key, F.explode("slots").alias("s")).join(sums.select(*key), key, "left_semi").select(*key, "s.*").distinct()

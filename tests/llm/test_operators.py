@@ -259,6 +259,13 @@ def test_leaks_with_names_anywhere(spark):
     assert leaks_of(spark, item, item.lower().replace("9", "7"), item.upper(), item.replace(" ", "\n")) == {0, 1, 2}
 
 
+def test_leaks_of_numbers(spark):
+    item = "Compute 12 + 7 * 3 - 4"
+    assert leaks_of(spark, item, "First " + item.lower() + " and then rest.", "Compute 12 and 7 and 3", "12 7 3 4") == {0}
+    item = "3 kg 17 km 5 11 19 23 Bob 14 Mary 6 8 cm 99 41 52 63"
+    assert leaks_of(spark, item, "here it is, " + item, "3 kg 17 km 5 12 19 24 Bob 14 Mary 7 8 cm 98 41 53 63") == {0}
+
+
 # ---- fingerprints
 
 def test_fingerprints(corpus, odd):
