@@ -4,7 +4,7 @@ Words are lower-cased and stripped of ASCII punctuation; then numbers, names and
 placeholders. What is left is the template, so an exercise with other numbers or names still has the same one.
 Windows of template tokens of all documents are hashed and joined with those of the benchmark. A
 pair of windows gives, for every placeholder, a pair of fillers (benchmark's, document's). Over all
-windows at about one place these must be a one-to-one renaming; else the match is chance. A run of
+windows at about one place a repeated name must mostly stay one name; else the match is chance. A run of
 placeholders of one kind is one token, so a name may have another number of words. Windows of the
 plain tokens are joined as well, so verbatim copies are found whatever they are made of.
 
@@ -25,6 +25,7 @@ from .text import SLICE, _LOWER, _SPACE, column_bytes, edges, hash_runs, mix
 
 WIDTH = 8
 LEAST_COVER = 0.5
+LEAST_AGREE = 0.5
 BITMAP_BITS = 1 << 26
 LEXICON_BITS = 1 << 24
 
@@ -353,10 +354,20 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, cover:
 
 
 def _clashes(slots: DataFrame, key: list[str]) -> DataFrame:
-    """Groups whose fillers are no one-to-one renaming."""
-    pairs = slots.select(*key, "kind", "item", "doc").distinct()
-    return pairs.groupBy(*key, "kind", "item").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key).union(
-        pairs.groupBy(*key, "kind", "doc").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(*key)).distinct()
+    """Groups where names that the item repeats mostly do not stay the same name.
+
+    A name at k places of the item of which m have one common word in the document agrees m - 1 times
+    of k - 1; the sums over all names are compared. Numbers and units are free, as re-drawn ones may
+    coincide or part, and two names may become one.
+    """
+    pairs = slots.where(F.col("kind") == NAME).select(
+        *key, "pos", F.explode(F.array_distinct(F.array("item", "item_first"))).alias("v"), "doc", "doc_first")
+    pairs = pairs.select(*key, "pos", "v", F.explode(F.array_distinct(F.array("doc", "doc_first"))).alias("u")).distinct()
+    most = pairs.groupBy(*key, "v", "u").agg(F.count(F.lit(1)).alias("m")).groupBy(*key, "v").agg(F.max("m").alias("m"))
+    places = pairs.select(*key, "v", "pos").distinct().groupBy(*key, "v").agg(F.count(F.lit(1)).alias("k"))
+    return most.join(places, [*key, "v"]).groupBy(*key).agg(
+        F.sum(F.col("m") - 1).alias("agree"), F.sum(F.col("k") - 1).alias("of")) \
+        .where(F.col("agree") < LEAST_AGREE * F.col("of")).select(*key)
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

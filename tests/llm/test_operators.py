@@ -266,6 +266,17 @@ def test_leaks_of_numbers(spark):
     assert leaks_of(spark, item, "here it is, " + item, "3 kg 17 km 5 12 19 24 Bob 14 Mary 7 8 cm 98 41 53 63") == {0}
 
 
+def test_leaks_with_redrawn_fillers(spark):
+    item = "At first Tom and Mary had 3 red apples and 5 green pears in the basket and later Tom gave 3 of them to the old teacher"
+    docs = [item.replace("3", "4").replace("5", "4"), item.replace("gave 3", "gave 8"), item.replace("Mary", "Tom"),
+            item.replace("later Tom", "later Henry")]
+    assert leaks_of(spark, item, *docs) == {0, 1, 2}
+    same = [(None, item), (None, item.replace("Tom", "Peter"))]
+    found = decontam.leaks(spark.createDataFrame(same, "doc_id long, text string"),
+                           spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.changed) for r in found] == [(None, 1, 0)]
+
+
 # ---- fingerprints
 
 def test_fingerprints(corpus, odd):
