@@ -6,8 +6,9 @@ power of two. Order has no effect, and a paragraph is added or removed by adding
 its vector. The lanes are
 
 * 8 dense lanes of 32 bits that every paragraph enters: these decide equality;
-* 48 sparse lanes of 12 bits on 8 scales: a paragraph enters a lane of scale s with
-  probability 2**-(s+1). Lanes that differ tell how many paragraphs two documents do not share;
+* 144 sparse lanes of 12 bits on 24 scales: a paragraph enters a lane of scale s with
+  probability 2**-(s+1). Lanes that differ tell how many paragraphs two documents do not share,
+  up to about 10**8;
 * the number of paragraphs.
 
 Paragraphs become rows and vectors are summed by ordinary aggregates; there is no Python on the
@@ -20,10 +21,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ordering import LAST, default_parts, order_key, range_bounds, range_number
 
-DENSE, SCALES, PER_SCALE = 8, 8, 6
+DENSE, SCALES, PER_SCALE = 8, 24, 6
 DENSE_MOD, SPARSE_MOD = 1 << 32, 1 << 12
 SPARSE = SCALES * PER_SCALE
-_PER_HASH = 3  # sparse lanes served by one 64-bit hash: 8 bits to choose, 12 to add
+_PER_HASH, _SHARED = 3, 48  # of the first sparse lanes, three are served by one 64-bit hash: 8 bits to choose, 12 to add
 
 
 def lane_names() -> list[str]:
@@ -36,10 +37,11 @@ def paragraph_vector(text: Column) -> list[Column]:
     dense = [F.xxhash64(F.lit(i), *ids).bitwiseAND(F.lit(DENSE_MOD - 1)) for i in range(DENSE)]
     sparse = []
     for i in range(SPARSE):
-        bits = F.xxhash64(F.lit(DENSE + i // _PER_HASH), *ids)
-        shift, choose = 20 * (i % _PER_HASH), (1 << (i // PER_SCALE + 1)) - 1
+        # The rarer lanes have a hash of their own: up to 24 bits to choose, 12 to add.
+        seed, shift, wide = (i // _PER_HASH, 20 * (i % _PER_HASH), 8) if i < _SHARED else (i, 0, SCALES)
+        bits, choose = F.xxhash64(F.lit(DENSE + seed), *ids), (1 << (i // PER_SCALE + 1)) - 1
         chosen = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(choose)) == 0
-        value = F.shiftrightunsigned(bits, shift + 8).bitwiseAND(F.lit(SPARSE_MOD - 1))
+        value = F.shiftrightunsigned(bits, shift + wide).bitwiseAND(F.lit(SPARSE_MOD - 1))
         sparse.append(F.when(chosen, value).otherwise(F.lit(0)))
     return [*dense, *sparse, F.lit(1)]
 
@@ -73,7 +75,7 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def as_text(lanes: Column) -> Column:
-    """The fingerprint as 216 hex digits: dense lanes, sparse lanes, number of paragraphs."""
+    """The fingerprint as 504 hex digits: dense lanes, sparse lanes, number of paragraphs."""
     parts = F.transform(lanes, lambda x, i: F.lpad(
         F.lower(F.hex(x)), F.when((i < DENSE) | (i == DENSE + SPARSE), 8).otherwise(3), F.lit("0")))
     return F.array_join(parts, "")
@@ -87,7 +89,7 @@ def _expected(d: int) -> float:
 def _grid() -> list[tuple[float, float]]:
     """(differing lanes, paragraphs) pairs: single steps at first, then steps of an eighth."""
     out, d = [], 1
-    while d < 4096:
+    while d < 1 << (SCALES + 3):
         out.append((_expected(d), float(d)))
         d += max(1, d // 8)
     return out

@@ -305,6 +305,24 @@ def test_fingerprint_arithmetic(spark):
     assert got["sum"] == lanes[3] and got["rest"] == lanes[1] == lanes[4]
 
 
+def test_likeness_of_any_size(spark):
+    """near_* against the exact multiset overlap; what is not shared is estimated within a factor of two and a half."""
+    rows, exact = [], {}
+    for n in (10, 100, 400, 2_000, 5_000, 20_000):
+        for percent in (0, 50, 80):
+            k = len(exact)
+            a = [f"{k} line {i}" for i in range(n)]
+            b = [*a[:n * percent // 100], *[f"{k} other {i}" for i in range(n - n * percent // 100)]]
+            rows.append((k, "\n".join(a), "\n".join(b)))
+            exact[k] = 2 * sum((Counter(a) & Counter(b)).values()) / (2 * n)
+    df = spark.createDataFrame(rows, "k long, a string, b string")
+    a, b = (fingerprints.fingerprints(df, c, ["k"]).withColumnRenamed("lanes", c) for c in "ab")
+    got = a.join(b, "k").select("k", fingerprints.likeness(F.col("a"), F.col("b")).alias("near")).collect()
+    for r in got:
+        assert 1 - 2.5 * (1 - exact[r.k]) <= r.near <= 1 - (1 - exact[r.k]) / 2.5, (r, exact[r.k])
+    assert len(got) == len(exact) and np.mean([abs(r.near - exact[r.k]) for r in got]) < 0.2
+
+
 # ---- quality
 
 def test_quality(spark, data, corpus, odd, empty):
