@@ -19,7 +19,7 @@ WEIGHTS = (5, 2, 1)
 EPOCH_SHARE = 1.5
 MOST_REPEATS = 2
 BLOCK = 256
-SLACK = 8  # slots beyond a source's need; more than a golden-ratio row can fall behind
+SLACK = 8  # slots beyond a source's need, besides the logarithm of all slots: what a golden-ratio row can fall behind
 GROUP_ROWS = 2_000
 
 # Points are i * _STEP mod _MOD; _STEP / _MOD is the golden ratio's fraction, and odd.
@@ -54,8 +54,12 @@ def _groups(rows: int) -> int:
 
 
 def schedule(spark, needs: list[int]) -> DataFrame:
-    """Slots (slot, source number ``src``, ``rank``) with rank < needs[src] for each source."""
-    shares = [n + SLACK for n in needs]
+    """Slots (slot, source number ``src``, ``rank``) with rank < needs[src] for each source.
+
+    Raises an error if a source has fewer slots than it needs.
+    """
+    slack = SLACK + sum(needs).bit_length()
+    shares = [n + slack for n in needs]
     slots = sum(shares)
     ends, total = [], 0
     for n in shares:
@@ -70,6 +74,10 @@ def schedule(spark, needs: list[int]) -> DataFrame:
     lines = lines.withColumn("point", point).withColumn("src", src.cast("int")) \
         .withColumn("chunk", F.shiftright("slot", 16))
     counts = lines.groupBy("chunk", "src").count()
+    have = {r.src: r.n for r in counts.groupBy("src").agg(F.sum("count").alias("n")).collect()}
+    short = [i for i, n in enumerate(needs) if have.get(i, 0) < n]
+    if short:
+        raise ValueError(f"sources {short} have fewer slots than they need")
     before = counts.withColumn("before", F.sum("count").over(
         Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)))
     inner = Window.partitionBy("chunk", "src").orderBy("slot")

@@ -434,6 +434,18 @@ def test_schedule_is_even(spark):
         assert abs(seen[0] - k * 0.5) < 25
 
 
+def test_schedule_of_many_slots(spark):
+    """The second source's share is one that the golden-ratio row serves late: 10 slots behind."""
+    needs = [3_335_202, 6_024_195, 640_579]
+    assert {r.src: r["count"] for r in mixing.schedule(spark, needs).groupBy("src").count().collect()} == dict(enumerate(needs))
+
+
+def test_schedule_tells_of_missing_slots(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLACK", -40)
+    with pytest.raises(ValueError):
+        mixing.schedule(spark, [500, 200, 100])
+
+
 def test_mixed_documents(corpus, odd):
     taken = {(r.doc_id): r.taken for r in mixing.mix(corpus).collect()}
     own = defaultdict(int)
