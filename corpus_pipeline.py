@@ -1,7 +1,7 @@
 """A training corpus in five stages, from the table of documents to token ids.
 
 Each stage takes the documents that the one before it kept, as reread from Parquet. All stages but the last
-return the columns of documents; they work on whole texts and see nothing but their own input.
+return the columns of documents; they work on whole texts (but see source_mix) and see nothing but their own input.
 """
 
 from __future__ import annotations
@@ -32,7 +32,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    In the last pass over a source, the document at its target is cut after its last word taken, with single
+    spaces between its words. Documents without words, null texts included, are not taken. So targets are met to the word.
+    """
     return mixing.mixed_documents(docs.select(COLUMNS)).select(COLUMNS)
 
 
