@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.helpers import rows
 from lernspur.operators import attempts as att
 from lernspur.operators import graph as gr
 from lernspur.operators import paths as pt

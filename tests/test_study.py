@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tests.helpers import rows
 from lernspur import (
     aggregate_events, problem_graphs,
     bundle_manifest, key_inventory, read_by_task, read_events, read_roster, read_study, read_tasks,
