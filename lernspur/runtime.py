@@ -48,7 +48,17 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{table_root(spark)}/lernspur-tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.__dict__["_lernspur_path"] = path
+    return stored
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`materialize` that no plan reads any more."""
+    for stored in tables:
+        spark = stored.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(stored.__dict__["_lernspur_path"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def rows_of(stored: DataFrame) -> int:
