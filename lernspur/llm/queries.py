@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, fingerprints, langid, lattice, mixing, ngramjoin, quality, sharding, tokencount, tokenfile, warc
+from . import (
+    centroids, cluster_sql, decontam, fingerprints, langid, lattice, mixing, ngramjoin, quality, sharding,
+    tokencount, tokenfile, warc,
+)
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 
@@ -55,6 +58,10 @@ def mixing_schedule(spark, folder):
     return mixing.mix(_table(spark, folder, "documents")).drop("source", "passes")
 
 
+def incremental_centroids(spark, folder):
+    return centroids.cluster_vectors(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": ngram_jaccard,
     "op2_token_binary": token_binary,
@@ -66,6 +73,7 @@ QUERIES = {
     "op8_trie_token_counts": trie_token_counts,
     "op9_mixing_schedule": mixing_schedule,
     "op10_language_id": language_id,
+    "op11_incremental_centroids": incremental_centroids,
 }
 
 _NAMES = ", ".join(f"'{s}'" for s in SHARDS)
@@ -130,4 +138,5 @@ ORACLE_SQL_BY_NAME = {
         SELECT doc_id, size, n AS source_size, target,
                greatest(0, least(a + size, goal) - a) + greatest(0, least(a + size, goal - n) - a) AS taken
         FROM line""",
+    "op11_incremental_centroids": cluster_sql.SQL,
 }
