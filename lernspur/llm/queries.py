@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     centroids, cluster_sql, decontam, fingerprints, langid, lattice, mixing, ngramjoin, quality, sharding,
-    tokencount, tokenfile, warc,
+    simhash, tokencount, tokenfile, warc,
 )
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
@@ -62,6 +62,10 @@ def incremental_centroids(spark, folder):
     return centroids.cluster_vectors(_table(spark, folder, "embeddings"))
 
 
+def simhash_bitslices(spark, folder):
+    return simhash.near_copies(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": ngram_jaccard,
     "op2_token_binary": token_binary,
@@ -74,6 +78,7 @@ QUERIES = {
     "op9_mixing_schedule": mixing_schedule,
     "op10_language_id": language_id,
     "op11_incremental_centroids": incremental_centroids,
+    "op13_simhash_bitslices": simhash_bitslices,
 }
 
 _NAMES = ", ".join(f"'{s}'" for s in SHARDS)
