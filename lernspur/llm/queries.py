@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    centroids, cluster_sql, decontam, fingerprints, langid, lattice, mixing, ngramjoin, quality, sharding,
+    centroids, cluster_sql, collocations, decontam, fingerprints, langid, lattice, mixing, ngramjoin, quality, sharding,
     simhash, tokencount, tokenfile, warc,
 )
 
@@ -62,6 +62,10 @@ def incremental_centroids(spark, folder):
     return centroids.cluster_vectors(_table(spark, folder, "embeddings"))
 
 
+def phrase_collocations(spark, folder):
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 def simhash_bitslices(spark, folder):
     return simhash.near_copies(_table(spark, folder, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op9_mixing_schedule": mixing_schedule,
     "op10_language_id": language_id,
     "op11_incremental_centroids": incremental_centroids,
+    "op12_phrase_collocations": phrase_collocations,
     "op13_simhash_bitslices": simhash_bitslices,
 }
 
@@ -144,4 +149,5 @@ ORACLE_SQL_BY_NAME = {
                greatest(0, least(a + size, goal) - a) + greatest(0, least(a + size, goal - n) - a) AS taken
         FROM line""",
     "op11_incremental_centroids": cluster_sql.SQL,
+    "op12_phrase_collocations": collocations.SQL,
 }
