@@ -31,9 +31,10 @@ SCALE = 1_000_000
 NO_LANGUAGE = "und"
 BLOCK_BYTES = 16 << 20  # text for each hash partition, about; its summary then has under a million counters
 MOST_BITS = 24  # 2**24 hash partitions at most, which 256 TB of text fill
+LOW_BITS = 24  # of a hash within its partition; the few n-grams that share them are counted as one at first
 MAP_BITS = 27
-CHUNK_WORDS = 1 << 20  # words that a task has in hand, about; a text may be cut between words
-HELD = 6_000_000  # counters that a task holds before it sends them
+CHUNK_WORDS = 1 << 19  # words that a task has in hand, about; a text may be cut between words
+HELD = 2_000_000  # counters that a task holds before it sends them
 SPREAD = 32  # parts of a language that are ranked by themselves first
 
 _SPACES, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -173,20 +174,31 @@ def merged(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndar
     return keys, counts
 
 
+def _packed(low: np.ndarray) -> bytes:
+    """Numbers of LOW_BITS bits, three bytes each."""
+    return low.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel()
+
+
 _SUMMARY = "block long, once binary, more binary, n binary"
 
 
 def _summary_rows(hashes: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """Sorted counters as a row for each hash partition; counters of one stand without their count."""
     block = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-    low = (hashes >> np.uint64(32 - bits)).astype("<u4")
+    low = (hashes >> np.uint64(64 - LOW_BITS - bits) & np.uint64((1 << LOW_BITS) - 1)).astype("<u4")
     starts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1))
     out = {"block": block[starts], "once": [], "more": [], "n": []}
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
         several = counts[a:b] > 1
-        out["once"].append(low[a:b][~several].tobytes())
-        out["more"].append(low[a:b][several].tobytes())
-        out["n"].append(counts[a:b][several].astype("<i8").tobytes())
+        out["once"].append(_packed(low[a:b][~several]))
+        out["more"].append(_packed(low[a:b][several]))
+        out["n"].append(counts[a:b][several].astype("<u4").tobytes())
     return pa.RecordBatch.from_pydict(out, pa.schema(
         [("block", pa.int64()), ("once", pa.binary()), ("more", pa.binary()), ("n", pa.binary())]))
 
@@ -213,31 +225,32 @@ def _summaries(rows: DataFrame, bits: int, most_words: int) -> DataFrame:
     return rows.mapInArrow(count, _SUMMARY)
 
 
-def _survivors(summaries: DataFrame, bits: int, threshold: int) -> np.ndarray:
-    """Bitmap of MAP_BITS leading hash bits with all n-grams that occur ``threshold`` times."""
-    stretch = 1 << (MAP_BITS - bits)
+def _survivors(summaries: DataFrame, bits: int, size: int, threshold: int) -> np.ndarray:
+    """Bitmap of ``size`` leading hash bits with all n-grams that occur ``threshold`` times."""
+    stretch = 1 << (size - bits)
 
     def merge(table):
-        once = [np.frombuffer(x, "<u4") for x in table.column("once").to_pylist()]
-        more = [np.frombuffer(x, "<u4") for x in table.column("more").to_pylist()]
-        n = [np.frombuffer(x, "<i8") for x in table.column("n").to_pylist()]
-        capacity = (sum(map(len, once)) + sum(int(x.sum()) for x in n)) // threshold
-        keys, counts, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
+        once, more = table.column("once"), table.column("more")
+        n = [np.frombuffer(x, "<u4") for x in table.column("n").to_pylist()]
+        mass = pc.sum(pc.binary_length(once)).as_py() // 3 + sum(int(x.sum(dtype=np.int64)) for x in n)
+        capacity = mass // threshold
+        keys, counts, held = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
         for own, several, times in zip(once, more, n):
+            own, several = _unpacked(own.as_py()), _unpacked(several.as_py())
             keys += [own, several]
             counts += [np.ones(len(own), np.int64), times]
-            size += len(own) + len(several)
-            if size > 2 * capacity + 1_000_000:
+            held += len(own) + len(several)
+            if held > 2 * capacity + 1_000_000:
                 keys, counts = ([x] for x in merged(np.concatenate(keys), np.concatenate(counts), capacity))
-                size = len(keys[0])
+                held = len(keys[0])
         found, _ = merged(np.concatenate(keys), np.concatenate(counts), capacity)
         bitmap = np.zeros(stretch, bool)
-        bitmap[found >> np.uint32(32 - (MAP_BITS - bits))] = True
+        bitmap[found >> np.uint32(LOW_BITS - (size - bits))] = True
         return pa.Table.from_pydict(
             {"block": table.column("block").slice(0, 1), "map": [np.packbits(bitmap).tobytes()]})
 
-    out = np.zeros(1 << (MAP_BITS - 3), np.uint8)
-    for r in summaries.groupBy("block").applyInArrow(merge, "block long, map binary").toLocalIterator():
+    out = np.zeros(1 << (size - 3), np.uint8)
+    for r in summaries.groupBy("block").applyInArrow(merge, "block long, map binary").collect():  # as many bytes as the bitmap
         part = np.frombuffer(r.map, np.uint8)
         out[r.block * len(part):(r.block + 1) * len(part)] = part
     return out
@@ -245,8 +258,8 @@ def _survivors(summaries: DataFrame, bits: int, threshold: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- second pass: exact counts
 
-def _exact(rows: DataFrame, bitmap, most_words: int) -> DataFrame:
-    """(lang, words, phrase, f) of a task's n-grams in the bitmap; words 0 has the number of all words."""
+def _exact(rows: DataFrame, bitmap, size: int, most_words: int) -> DataFrame:
+    """(lang, words, phrase, f) of a task's n-grams in the bitmap of ``size`` hash bits; words 0 has the number of all words."""
     def count(batches):
         names: dict[str, int] = {}
         for now in _chunks(batches, names, most_words):
@@ -256,7 +269,7 @@ def _exact(rows: DataFrame, bitmap, most_words: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {"lang": told, "words": np.zeros(len(told), np.int32), "phrase": [""] * len(told), "f": total})
             for m, starts, value, key, ids, vocabulary in _grams(now, names, most_words):
-                slot = value >> np.uint64(64 - MAP_BITS)
+                slot = value >> np.uint64(64 - size)
                 hit = (bitmap.value[(slot >> np.uint64(3)).astype(np.int64)] >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1
                 _, at, n = np.unique(key[hit], return_index=True, return_counts=True)
                 at = starts[hit][at]
@@ -278,10 +291,12 @@ def frequent_ngrams(documents: DataFrame, most_words: int = MAX_WORDS, threshold
     The rows with words = 0 hold the number of all word occurrences of a language.
     """
     rows = documents.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(MOST_BITS, int(size // BLOCK_BYTES).bit_length())
-    found = rows.sparkSession.sparkContext.broadcast(_survivors(_summaries(rows, bits, most_words), bits, threshold))
-    counted = _exact(rows, found, most_words).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    bytes_ = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(MOST_BITS, int(bytes_ // BLOCK_BYTES).bit_length())
+    size = min(MAP_BITS, bits + LOW_BITS)
+    found = rows.sparkSession.sparkContext.broadcast(
+        _survivors(_summaries(rows, bits, most_words), bits, size, threshold))
+    counted = _exact(rows, found, size, most_words).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
     out = materialize(counted.where((F.col("words") == 0) | (F.col("f") >= threshold)))
     found.destroy()
     return out
