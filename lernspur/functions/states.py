@@ -1,4 +1,4 @@
-"""Canonical text of mathematical states, and parsing of event times."""
+"""Canonical text of mathematical states."""
 
 from __future__ import annotations
 
@@ -11,13 +11,6 @@ from ..schemas import STATE_EVENTS
 NUMBER_TIMES_LETTER = (r"(\d+)\\cdot(?=[A-Za-z])", "$1")
 LETTER_TIMES_LETTER = (r"(?<=[A-Za-z])\\cdot(?=[A-Za-z])", "")
 TIMES = ("\\cdot", "\\cdot ")
-# Text forms of event times, tried in this order after ISO 8601.
-TIME_FORMATS = (
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss.SSS",
-    "MMM d, yyyy HH:mm:ss",
-    "yyyyMMddHHmmss",
-)
 # -----------------------------------------------------------------------------------
 
 
@@ -80,23 +73,3 @@ def convert_event_states(events: DataFrame, mapping: DataFrame | None = None) ->
             c, F.when(stateful, F.coalesce("_canonical", c)).otherwise(F.col(c))
         ).drop("_canonical")
     return out.select(*events.columns, *raw.values())
-
-
-def parse_timestamp(text: Column, formats: tuple[str, ...] = TIME_FORMATS) -> Column:
-    """Time from mixed text forms; null if none fits.
-
-    ISO 8601 first, then ``formats``, then a plain number read as the coarsest of seconds,
-    milliseconds, microseconds and nanoseconds that keeps the year below 2262.
-    """
-    number = F.when(text.rlike(r"^\d+$"), text.try_cast("bigint"))
-    latest_second = 9_223_372_036  # last second a 64-bit nanosecond clock can hold
-    micros = (
-        F.when(number <= latest_second, number * 1_000_000)
-        .when(number <= latest_second * 1_000, number * 1_000)
-        .when(number <= latest_second * 1_000_000, number)
-        .otherwise(F.floor(number / 1_000))
-    )
-    iso = F.when(~text.rlike(r"^\d+$"), text.try_cast("timestamp"))
-    return F.coalesce(
-        iso, *[F.try_to_timestamp(text, F.lit(f)) for f in formats], F.timestamp_micros(micros)
-    )

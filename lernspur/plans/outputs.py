@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..runtime import join_lookup, materialize
 from ..schemas import K2, K4, STUDENT, STUDY_INFO_FILE
 
 FORMATS = ("csv", "parquet", "table")
@@ -42,15 +43,20 @@ def write_table(df: DataFrame, name: str, folder: str, formats, database: str |
             df.write.mode(mode).saveAsTable(f"{database}.{name}" if database else name)
 
 
-def write_by_task(events: DataFrame, folder: str, files_per_task: int = 1) -> None:
+def write_by_task(events: DataFrame, folder: str, rows_per_file: int = 5_000_000) -> None:
     """Store the log with one folder per task, so that a task can be read alone.
 
-    ``files_per_task`` spreads each task over that many writers; raise it when one task
-    holds a large part of the log.
+    Rows are counted by task first: a task has a writer for each ``rows_per_file`` rows, events without a task like
+    any other, so no task of the job has many more rows than that.
     """
-    spread = F.pmod(F.xxhash64("studentSessionId", "seq"), F.lit(files_per_task))
-    (events.repartition("taskNumber", spread)
-     .sortWithinPartitions("taskNumber", "studentSessionId", "timestamp", "seq")
+    key = F.coalesce(F.col("taskNumber").cast("string"), F.lit("none"))
+    sizes = materialize(events.groupBy(key.alias("_key")).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("_writers")))
+    # A few numbers for each task; each writer sorts its own rows.
+    spread = join_lookup(events.withColumn("_key", key), sizes, ["_key"]).withColumn(
+        "_writer", F.pmod(F.xxhash64("studentSessionId", "seq"), F.col("_writers")))
+    (spread.repartition("_key", "_writer")
+     .sortWithinPartitions("taskNumber", "studentSessionId", "timestamp", "seq").drop("_key", "_writers", "_writer")
      .write.mode("overwrite").partitionBy("taskNumber").parquet(folder))
 
 
@@ -58,6 +64,22 @@ def read_by_task(spark: SparkSession, folder: str, number: int) -> DataFrame:
     return spark.read.parquet(folder).where(F.col("taskNumber") == number)
 
 
+def append_chunk(df: DataFrame, name: str, chunk: str, path: str | None = None) -> None:
+    """Add a chunk of rows to the catalog table ``name``, once.
+
+    The table is partitioned by ``chunk``; a chunk that is there already is replaced as a whole, so a job that died
+    may append all its chunks again. ``path`` is where the table lies if it does not exist yet.
+    """
+    rows = df.withColumn("chunk", F.lit(chunk))
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        empty = rows.limit(0).write.partitionBy("chunk")
+        (empty.option("path", path) if path else empty).format("parquet").saveAsTable(name)
+    own = df.select(*[c for c in spark.table(name).columns if c != "chunk"])
+    literal = chunk.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (chunk = '{literal}') SELECT * FROM {{rows}}", rows=own)
+
+
 def study_info_lines(study: DataFrame, assignment: DataFrame | None = None) -> DataFrame:
     """Lines of the readable study summary: description first, then the student statistics."""
     bar = study.sparkSession.range(1).select(

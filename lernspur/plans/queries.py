@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import functions as F
 
 from ..functions import states as st
+from ..functions import times as tm
 from ..operators import attempts as att
 from ..operators import graph as gr
 from ..operators import paths as pt
@@ -13,43 +14,11 @@ from ..operators.classify import classify_attempts
 from ..runtime import materialize
 from ..schemas import K4, STUDENT
 from ..sources import files
-from ..sources.clickstream import LOG_COLUMNS, clickstream_lanes, clickstream_tasks
+from ..sources.clickstream import LOG_COLUMNS, clickstream_tasks
+from . import intake
+from .base import lanes as _lanes, log as _log, published, table as _table
 from .study import aggregate_events
 
-SINGLE = {
-    "total_time", "pause_time", "pause_time_ratio", "total_time_spent", "avg_time_spent",
-    "avg_pause_time", "avg_pause_time_ratio", "avg_stars", "avg_click_reset", "avg_click_retry",
-    "total_time_spent_mins", "avg_time_spent_mins", "avg_attempts", "avg_replays",
-    "avg_completed_attempts", "avg_errors", "avg_keypad_errors", "avg_shaking_errors",
-    "avg_snapping_errors", "avg_hints", "avg_one_star", "avg_two_star", "avg_three_star",
-    "avg_incomplete", "mean", "std", "min", "p25", "p50", "p75", "max", "delta_seconds",
-}
-
-
-def published(df: DataFrame) -> DataFrame:
-    """Column types of the published tables: single-precision measures, zone-free UTC times."""
-    def out(name, kind):
-        if name in SINGLE:
-            return F.col(name).cast("float").alias(name)
-        if kind == "timestamp":
-            return F.col(name).cast("timestamp_ntz").alias(name)
-        return F.col(name)
-    return df.select(*[out(n, t) for n, t in df.dtypes])
-
-
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def _lanes(spark, folder):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return clickstream_lanes(_table(spark, folder, "events"))
-
-
-def _log(spark, folder):
-    return _lanes(spark, folder).merge()
-
-
 def _normalized(spark, folder):
     return visits.normalize_visits(_lanes(spark, folder))
 
@@ -89,23 +58,24 @@ def fill_optional(spark, folder):
 
 
 def key_inventory(spark, folder):
-    log = _log(spark, folder).drop("timestamp").withColumn(
-        "value", F.to_json(F.struct(*[c for c in LOG_COLUMNS if c != "timestamp"])))
+    text = [tm.utc_text(F.col(c)).alias(c) if c == "timestamp" else F.col(c) for c in LOG_COLUMNS]
+    log = _log(spark, folder).select("seq", F.to_json(F.struct(*text)).alias("value"))
     return files.key_inventory(log, "seq")
 
 
 def parse_timestamp(spark, folder):
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ts = F.col("ts").cast("timestamp")
+    clock = F.date_trunc("second", "ts").cast("timestamp_ntz").cast("string")
+    day = F.col("ts").cast("date")
+    month = F.element_at(F.array(*[F.lit(m) for m in intake.MONTHS]), F.month(day))
     form = F.col("event_id") % 4
     text = (
-        F.when(form == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"))
-        .when(form == 1, F.date_format(ts, "MM/dd/yyyy HH:mm:ss"))
-        .when(form == 2, F.unix_millis(ts).cast("string"))
-        .otherwise(F.date_format(ts, "MMM d, yyyy HH:mm:ss"))
+        F.when(form == 0, F.replace(clock, F.lit(" "), F.lit("T")))
+        .when(form == 1, F.regexp_replace(clock, r"^(\d+)-(\d+)-(\d+)", "$2/$3/$1"))
+        .when(form == 2, F.floor(tm.utc_micros(F.col("ts")) / 1000).cast("string"))
+        .otherwise(F.concat(month, F.lit(" "), F.day(day), F.lit(", "), F.year(day), F.substring(clock, 11, 9)))
     )
     log = _table(spark, folder, "events").select("event_id", text.alias("text"))
-    return published(log.withColumn("parsed", st.parse_timestamp(F.col("text"))))
+    return published(log.withColumn("parsed", tm.parse_timestamp(F.col("text"))))
 
 
 def visit_collapse(spark, folder):
@@ -324,3 +294,4 @@ QUERIES = {
 }
 QUERIES["classify_attempts"] = classified_attempts
 QUERIES["attempt_with_class"] = attempts_and_classes
+QUERIES |= intake.QUERIES

@@ -16,7 +16,7 @@ from ..operators.paths import attempt_paths, path_events
 from ..operators.quality import check_tasks
 from ..operators.visits import attempt_events, event_lanes, normalize_visits
 from ..runtime import materialize, rows_of
-from ..sources import files
+from ..sources import files, records
 from .outputs import check_formats, study_info_lines, write_study_info, write_table
 
 log = logging.getLogger(__name__)
@@ -102,7 +102,7 @@ def run_study(
     log.info("tasks: %d", rows_of(tasks))
     save(tasks, "task_metadata")
 
-    events = files.read_events(
+    events = records.read_events(
         spark, files.bundle_path(input_dir, "event_logs"), extra_columns)
     if convert_states:
         events = convert_event_states(events, state_mapping)

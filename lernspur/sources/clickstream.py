@@ -8,8 +8,9 @@ user's events are cut into attempts of 8 and tasks of 24 events, and the number
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.times import utc_micros
 from ..operators.ordered import Lanes, LastSeen, Previous, RunningSum, SEGMENT
 from ..schemas import EVENT_ORDER, K4, STUDENT
 
@@ -26,12 +27,14 @@ LOG_COLUMNS = [
 
 
 def clickstream_lanes(events: DataFrame) -> Lanes:
+    # Times without a zone are UTC.
+    zoned = isinstance(events.schema["ts"].dataType, T.TimestampType)
+    events = events.withColumn("_us", F.unix_micros("ts") if zoned else utc_micros(F.col("ts")))
     base = events.selectExpr(
         "event_id AS seq", "user_id", "event_type",
         f"concat('u', lpad(cast(user_id AS string), 6, '0')) AS {STUDENT}",
         "cast(get_json_object(props, '$.k') AS int) AS k",
-        f"timestamp_micros({EPOCH_US} + (unix_micros(cast(ts AS timestamp)) - {EPOCH_US})"
-        f" div {TIME_DIVISOR}) AS timestamp",
+        f"timestamp_micros({EPOCH_US} + (_us - {EPOCH_US}) div {TIME_DIVISOR}) AS timestamp",
     )
     lanes = Lanes.split(base, STUDENT, [STUDENT, *EVENT_ORDER])
     lanes = lanes.ordered([STUDENT], EVENT_ORDER, RunningSum("_row", F.lit(1).cast("long")))

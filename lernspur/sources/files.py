@@ -4,12 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.states import canonical_latex, parse_timestamp
-from ..schemas import (
-    BUNDLE_FILES, EVENT_SCHEMA, EVENT_TYPES_BY_COLUMN, TASK_SCHEMA, TASK_SESSION_COLUMNS,
-)
-
-DROPPED_KEYS = ("_id", "uid")
+from ..functions.states import canonical_latex
+from ..schemas import BUNDLE_FILES, EVENT_TYPES_BY_COLUMN, TASK_SCHEMA, TASK_SESSION_COLUMNS
+from .records import DROPPED_KEYS
 
 
 def bundle_path(folder: str, key: str) -> str:
@@ -40,28 +37,6 @@ def event_types(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(t) for c, t in EVENT_TYPES_BY_COLUMN.items()})
 
 
-def read_events(spark: SparkSession, path: str, extra_columns: bool = False) -> DataFrame:
-    """Typed event log from newline JSON, with ``seq`` numbering the records.
-
-    Records are read by key, so their key order does not matter and absent keys are null.
-    ``extra_columns`` keeps keys outside the known schema as text, at the price of one more
-    pass over the file to find them.
-    """
-    schema = EVENT_SCHEMA
-    if extra_columns:
-        lines = spark.read.text(path).withColumn("seq", F.monotonically_increasing_id())
-        known = {f.name for f in EVENT_SCHEMA} | set(DROPPED_KEYS)
-        # One row per distinct key of the export.
-        found = key_inventory(lines, "seq").orderBy("first_record", "first_position")
-        names = [r.key for r in found.select("key").collect() if r.key not in known]
-        schema = T.StructType([*EVENT_SCHEMA, *[T.StructField(n, T.StringType()) for n in names]])
-    raw = spark.read.schema(schema).json(path)
-    return (
-        event_types(raw.withColumn("timestamp", parse_timestamp(F.col("timestamp"))))
-        .withColumn("seq", F.monotonically_increasing_id())
-    )
-
-
 def read_tasks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TASK_SCHEMA).json(path).withColumn(
         "seq", F.monotonically_increasing_id())
@@ -122,14 +97,16 @@ def clean_attempt_export(df: DataFrame) -> DataFrame:
 def bundle_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Files missing from the study folders under ``root``: ``(study, missing)``.
 
-    Only names are listed, no file is opened. Empty files are not listed and so count as
-    missing.
+    A study's file may be one file or a folder of part files of that name; folders may also be named as partitions,
+    ``study=a/file=event-logs.ndjson``. Only names are listed, no file is opened. Empty files are not listed and so
+    count as missing.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select(F.split("path", "/").alias("p"))
-        .select(F.element_at("p", -2).alias("study"), F.element_at("p", -1).alias("missing"))
-    )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    # The part of a path below the root: study, file, and part files if it is a folder.
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    below = F.split(F.substring_index("path", f"/{base}/", -1), "/")
+    plain = F.transform(below, lambda p: F.regexp_replace(F.url_decode(p), r"^\w+=", ""))
+    files = listed.select(plain[0].alias("study"), plain[1].alias("missing")).distinct()
     expected = files.select("study").distinct().withColumn(
         "missing", F.explode(F.array(*[F.lit(n) for n in BUNDLE_FILES.values()])))
     return expected.join(files, ["study", "missing"], "left_anti")

@@ -364,16 +364,18 @@ def canonical(raw):
     return rf"replace({text}, '\cdot', '\cdot ')"
 
 
-LOG_KEYS = ["seq", "studentSessionId", "studentRef", "taskNumber", "attemptHlc", "visitId", "eventType",
-            "mistake", "reason", "stars", "oldState", "newState", "actionName"]
+LOG_KEYS = ["seq", "studentSessionId", "studentRef", "taskNumber", "attemptHlc", "visitId", "timestamp",
+            "eventType", "mistake", "reason", "stars", "oldState", "newState", "actionName"]
 cte("records", f"""
 SELECT seq, unnest(json_keys(rec)) AS key, unnest(generate_series(0, len(json_keys(rec)) - 1)) AS position
-FROM (SELECT seq, json_merge_patch('{{}}', to_json({{{', '.join(f"'{c}': {c}" for c in LOG_KEYS)}}})) AS rec FROM ev)""", "ev")
+FROM (SELECT seq, json_merge_patch('{{}}', to_json({{{', '.join(f"'{c}': \"{c}\"" for c in LOG_KEYS)}}})) AS rec FROM ev)""", "ev")
 
 TEXT_FORMS = """CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
   WHEN 1 THEN strftime(ts, '%m/%d/%Y %H:%M:%S') WHEN 2 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
   ELSE strftime(ts, '%b %-d, %Y %H:%M:%S') END"""
 
+BUNDLE = ["roster-metadata.json", "study-metadata.json", "task-metadata.ndjson", "event-logs.ndjson", "attempt-data.ndjson"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -390,6 +392,20 @@ def oracle_sql() -> dict[str, str]:
         "parse_timestamp": (
             f"SELECT event_id, {TEXT_FORMS} AS text, CASE WHEN event_id % 4 = 2 THEN date_trunc('millisecond', ts) "
             "ELSE date_trunc('second', ts) END AS parsed FROM events"),
+        "event_log_json": query(
+            f"SELECT {EVENT}, lag(seq) OVER (PARTITION BY studentSessionId ORDER BY seq) AS follows FROM ev", "ev"),
+        "bad_records": query("""
+            SELECT seq, c AS "column", t AS "text", r AS reason FROM ev JOIN (VALUES
+              (0, NULL, NULL, 'not a JSON object'), (1, NULL, NULL, 'not a JSON object'), (2, 'taskNumber', '1.5', 'not whole'),
+              (3, 'timestamp', 'soon', 'not a time'), (3, 'wasSolved', 'maybe', 'not a boolean'),
+              (4, 'wasSolved', 'maybe', 'not a boolean'), (5, 'stars', '99999999999', 'out of range'),
+              (6, 'dx', 'wide', 'not a number'), (10, NULL, NULL, 'not a JSON object'), (11, NULL, NULL, 'not a JSON object')
+            ) AS v(k, c, t, r) ON seq % 40 = k""", "ev"),
+        "bundle_manifest": (
+            f"SELECT 'study-' || n_nationkey AS study, ({BUNDLE})[k + 1] AS missing "
+            "FROM nation, range(5) AS r(k) WHERE (n_nationkey + k * k) % 4 = 0"),
+        "task_store": query(f"SELECT {EVENT} FROM ev WHERE taskNumber = 2", "ev"),
+        "appended_chunks": query(f"SELECT {EVENT}, 'chunk-' || (seq % 3) AS chunk FROM ev", "ev"),
         "visit_collapse": query("SELECT seq, rawVisitId, visitId FROM nv", "nv"),
         "reset_reassign": query(
             "SELECT seq, rawAttemptHlc, attemptHlc, visitId, next_reset_reason FROM shifted", "shifted"),

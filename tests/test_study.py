@@ -12,6 +12,7 @@ from lernspur import (
     run_study, task_metadata, union_studies, write_by_task,
 )
 from lernspur.functions import states as st
+from lernspur.functions import times as tm
 from lernspur.operators import quality
 from lernspur.plans.outputs import check_formats, study_info_lines
 from lernspur.plans.queries import QUERIES
@@ -118,7 +119,7 @@ def test_output_is_guarded(spark, bundle, result):
 
 def test_by_task_storage(spark, bundle, tmp_path):
     log = read_events(spark, bundle_path(str(bundle / "study_a"), "event_logs"))
-    write_by_task(log, str(tmp_path / "tasks"), files_per_task=3)
+    write_by_task(log, str(tmp_path / "tasks"), rows_per_file=50)
     one = read_by_task(spark, str(tmp_path / "tasks"), 2)
     assert rows(one.select(*log.columns)) == rows(quality.task_slice(log, 2))
     assert "PartitionFilters: [isnotnull(taskNumber" in one._jdf.queryExecution().executedPlan().toString()
@@ -223,7 +224,7 @@ def test_state_conversion(spark):
     ("soon", None), (None, None),
 ])
 def test_timestamps(spark, text, micros):
-    df = spark.createDataFrame([(text,)], "t string").select(F.unix_micros(st.parse_timestamp(F.col("t"))))
+    df = spark.createDataFrame([(text,)], "t string").select(F.unix_micros(tm.parse_timestamp(F.col("t"))))
     assert df.first()[0] == micros
 
 
