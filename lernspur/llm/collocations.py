@@ -33,8 +33,9 @@ BLOCK_BYTES = 16 << 20  # text for each hash partition, about; its summary then
 MOST_BITS = 24  # 2**24 hash partitions at most, which 256 TB of text fill
 LOW_BITS = 24  # of a hash within its partition; the few n-grams that share them are counted as one at first
 MAP_BITS = 27
-CHUNK_WORDS = 1 << 19  # words that a task has in hand, about; a text may be cut between words
-HELD = 2_000_000  # counters that a task holds before it sends them
+CHUNK_WORDS = 1 << 18  # words that a task has in hand, about; a text may be cut between words
+HELD = 2_000_000  # counters that a task holds, about, before it sends them
+ID_BITS = 21  # of a word's number within a task; three make a phrase of the longest kind
 SPREAD = 32  # parts of a language that are ranked by themselves first
 
 _SPACES, _BREAKS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -129,37 +130,38 @@ def _chunks(batches, names: dict[str, int], most_words: int):
         yield now
 
 
-def _grams(now: _Words, names: dict[str, int], most_words: int):
-    """For 1 to ``most_words`` words: (starts, hashes, keys, ids, vocabulary) of all n-grams of a chunk.
-
-    Equal keys are equal n-grams of one language, exactly; hashes hold over chunks.
-    """
-    letters, lengths, pieces, langs = now.joined()
-    ends = np.concatenate(([0], np.cumsum(lengths)))
-    words = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(letters))
-    coded = words.dictionary_encode()
-    ids = coded.indices.to_numpy().astype(np.int64)
-    vocabulary = coded.dictionary
-    hashed = np.array([xxhash.xxh64_intdigest(w) for w in vocabulary.to_pylist()], np.uint64)
-    by_lang = np.array([xxhash.xxh64_intdigest(x) for x in names], np.uint64)
-    size = len(vocabulary)
-    span, key = len(names) * size, langs * size + ids
-    value = mix(by_lang[langs] + hashed[ids] * np.uint64(0x9E3779B97F4A7C15))
-    starts = np.arange(len(ids))
-    for m in range(1, most_words + 1):
-        if m > 1:
-            whole = starts + m - 1 < len(ids)
-            starts, key, value = starts[whole], key[whole], value[whole]
-            whole = pieces[starts] == pieces[starts + m - 1]
-            starts, key, value = starts[whole], key[whole], value[whole]
-            if span >= (1 << 62) // max(1, size):
-                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-                span = int(key.max(initial=0)) + 1
-            last = ids[starts + m - 1]
-            span, key = span * size, key * size + last
-            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + hashed[last])
-        fresh = starts + m > now.context
-        yield m, starts[fresh], value[fresh], key[fresh], ids, vocabulary
+class _Coded:
+    """Words of a chunk as numbers of the distinct (language, word) pairs in it, with a hash for each pair."""
+
+    def __init__(self, now: _Words, names: dict[str, int]):
+        letters, lengths, self.pieces, langs = now.joined()
+        self.context = now.context
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        words = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(letters))
+        coded = words.dictionary_encode()
+        size = len(coded.dictionary)
+        pairs, self.ids = np.unique(langs * size + coded.indices.to_numpy(), return_inverse=True)
+        self.langs = pairs // size
+        self.words = coded.dictionary.take(pa.array(pairs % size)).to_pylist()
+        by_lang = np.array([xxhash.xxh64_intdigest(x) for x in names], np.uint64)
+        hashed = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)
+        self.hashes = mix(by_lang[self.langs] + hashed * _STEP)
+
+    def grams(self, most_words: int):
+        """(words, starts, hashes) of the n-grams of 1 to ``most_words`` words that were not counted before."""
+        starts, own = np.arange(len(self.ids), dtype=np.int32), self.hashes[self.ids]
+        value = own
+        for m in range(1, most_words + 1):
+            if m > 1:
+                whole = np.flatnonzero(starts < len(self.ids) - m + 1)
+                whole = whole[self.pieces[starts[whole]] == self.pieces[starts[whole] + m - 1]]
+                starts = starts[whole]
+                value = mix(value[whole] * _STEP + own[starts + m - 1])
+            fresh = starts + m > self.context
+            yield m, starts[fresh], value[fresh]
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ---------------------------------------------------------------- first pass: summaries
@@ -213,7 +215,7 @@ def _summaries(rows: DataFrame, bits: int, most_words: int) -> DataFrame:
             return keys, np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
 
         for now in _chunks(batches, names, most_words):
-            values = np.concatenate([value for _, _, value, *_ in _grams(now, names, most_words)])
+            values = np.concatenate([value for _, _, value in _Coded(now, names).grams(most_words)])
             held.append(np.unique(values, return_counts=True))
             size += len(held[-1][0])
             if size > HELD:
@@ -258,29 +260,82 @@ def _survivors(summaries: DataFrame, bits: int, size: int, threshold: int) -> np
 
 # ---------------------------------------------------------------- second pass: exact counts
 
+class _Counter:
+    """Exact counts of a task's n-grams, whose words have numbers of ``bits`` bits."""
+
+    def __init__(self, most_words: int, bits: int):
+        self.bits = bits
+        self.numbers, self.words, self.langs = {}, [], []
+        self.held = {m: [] for m in range(1, most_words + 1)}
+
+    def numbered(self, coded: _Coded) -> np.ndarray:
+        """The task's number for each pair of a chunk."""
+        out = np.empty(len(coded.words), np.int64)
+        for i, pair in enumerate(zip(coded.langs.tolist(), coded.words)):
+            found = self.numbers.get(pair)
+            if found is None:
+                found = self.numbers[pair] = len(self.words)
+                self.langs.append(pair[0])
+                self.words.append(pair[1])
+            out[i] = found
+        return out
+
+    def add(self, m: int, keys: np.ndarray):
+        self.held[m].append(np.unique(keys, return_counts=True))
+
+    def size(self) -> int:
+        return sum(len(k) for own in self.held.values() for k, _ in own)
+
+    def combine(self):
+        for m, own in self.held.items():
+            if len(own) > 1:
+                keys, at = np.unique(np.concatenate([k for k, _ in own]), return_inverse=True)
+                n = np.bincount(at, weights=np.concatenate([n for _, n in own])).astype(np.int64)
+                self.held[m] = [(keys, n)]
+
+    def rows(self, names: list[str]):
+        """All counts as (lang, words, phrase, f), and empties the counter."""
+        self.combine()
+        words, langs = pa.array(self.words, pa.string()), np.array(self.langs, np.int64)
+        for m, own in self.held.items():
+            for keys, n in own:
+                for a in range(0, len(keys), 100_000):
+                    key = keys[a:a + 100_000]
+                    parts = [key >> ((m - 1 - k) * self.bits) & ((1 << self.bits) - 1) for k in range(m)]
+                    columns = [words.take(pa.array(p)) for p in parts]
+                    phrase = columns[0] if m == 1 else pc.binary_join_element_wise(*columns, " ")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names).take(pa.array(langs[parts[0]])), pa.array(np.full(len(key), m, np.int32)),
+                         phrase, pa.array(n[a:a + 100_000])], names=["lang", "words", "phrase", "f"])
+        self.__init__(len(self.held), self.bits)
+
+
 def _exact(rows: DataFrame, bitmap, size: int, most_words: int) -> DataFrame:
     """(lang, words, phrase, f) of a task's n-grams in the bitmap of ``size`` hash bits; words 0 has the number of all words."""
     def count(batches):
         names: dict[str, int] = {}
+        counter = _Counter(most_words, ID_BITS)
         for now in _chunks(batches, names, most_words):
-            langs = now.joined()[3]
-            told = list(names)
-            total = np.bincount(langs[now.context:], minlength=len(told))
-            yield pa.RecordBatch.from_pydict(
-                {"lang": told, "words": np.zeros(len(told), np.int32), "phrase": [""] * len(told), "f": total})
-            for m, starts, value, key, ids, vocabulary in _grams(now, names, most_words):
+            total = np.bincount(now.joined()[3][now.context:], minlength=len(names))
+            yield pa.RecordBatch.from_pydict({
+                "lang": list(names), "words": np.zeros(len(names), np.int32), "phrase": [""] * len(names), "f": total})
+            coded = _Coded(now, names)
+            if len(counter.words) + len(coded.words) > 1 << ID_BITS:
+                yield from counter.rows(list(names))
+            number = counter.numbered(coded)[coded.ids]
+            for m, starts, value in coded.grams(most_words):
                 slot = value >> np.uint64(64 - size)
-                hit = (bitmap.value[(slot >> np.uint64(3)).astype(np.int64)] >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1
-                _, at, n = np.unique(key[hit], return_index=True, return_counts=True)
-                at = starts[hit][at]
-                for a in range(0, len(at), 200_000):
-                    own = at[a:a + 200_000]
-                    columns = [vocabulary.take(pa.array(ids[own + k])) for k in range(m)]
-                    phrase = columns[0] if m == 1 else pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string()))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(told).take(pa.array(langs[own])), pa.array(np.full(len(own), m, np.int32)),
-                         phrase.cast(pa.string()), pa.array(n[a:a + 200_000].astype(np.int64))],
-                        names=["lang", "words", "phrase", "f"])
+                hit = starts[(bitmap.value[(slot >> np.uint64(3)).astype(np.int64)]
+                              >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+                key = number[hit]
+                for k in range(1, m):
+                    key = key << ID_BITS | number[hit + k]
+                counter.add(m, key)
+            if counter.size() > HELD:
+                counter.combine()
+                if counter.size() > HELD:
+                    yield from counter.rows(list(names))
+        yield from counter.rows(list(names))
 
     return rows.mapInArrow(count, "lang string, words int, phrase string, f long")
 
@@ -291,12 +346,16 @@ def frequent_ngrams(documents: DataFrame, most_words: int = MAX_WORDS, threshold
     The rows with words = 0 hold the number of all word occurrences of a language.
     """
     rows = documents.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    if not 2 <= most_words <= MAX_WORDS:
+        raise ValueError(f"phrases have 2 to {MAX_WORDS} words, not {most_words}")
     bytes_ = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(MOST_BITS, int(bytes_ // BLOCK_BYTES).bit_length())
     size = min(MAP_BITS, bits + LOW_BITS)
     found = rows.sparkSession.sparkContext.broadcast(
         _survivors(_summaries(rows, bits, most_words), bits, size, threshold))
-    counted = _exact(rows, found, size, most_words).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    # Counted by task already, so rows are dealt out as they are and summed up there.
+    counted = _exact(rows, found, size, most_words).repartition("lang", "words", "phrase").groupBy(
+        "lang", "words", "phrase").agg(F.sum("f").alias("f"))
     out = materialize(counted.where((F.col("words") == 0) | (F.col("f") >= threshold)))
     found.destroy()
     return out

@@ -62,7 +62,7 @@ def test_random(spark, monkeypatch):
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     assert len(check(df)) > 20
     check(df, top=5)
-    check(df, threshold=3, most_words=4)
+    check(df, threshold=3)
     check(df, most_words=2)
 
 
@@ -77,10 +77,10 @@ def test_cuts_of_texts_and_chunks(spark, monkeypatch):
     for most in (2, 3):
         names, found = {}, Counter()
         for now in collocations._chunks(batches, names, most):
-            for m, starts, _, _, ids, vocabulary in collocations._grams(now, names, most):
-                words = vocabulary.to_pylist()
+            coded = collocations._Coded(now, names)
+            for m, starts, _ in coded.grams(most):
                 for s in starts:
-                    found[tuple(words[ids[s + k]] for k in range(m))] += 1
+                    found[tuple(coded.words[coded.ids[s + k]] for k in range(m))] += 1
         want = Counter()
         for _, text in rows:
             for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.translate(LOWER)):
@@ -90,8 +90,10 @@ def test_cuts_of_texts_and_chunks(spark, monkeypatch):
         assert found == want
 
 
-def test_partitions(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "BLOCK_BYTES", 1000)
+def test_bounds(spark, monkeypatch):
+    """Partitions, and how much a task holds, do not change the result."""
+    for name, value in (("BLOCK_BYTES", 4000), ("HELD", 50), ("ID_BITS", 7)):
+        monkeypatch.setattr(collocations, name, value)
     rng = np.random.default_rng(3)
     rows = [("en", t) for t in texts(rng, 50, 80)]
     check(spark.createDataFrame(rows, "lang string, text string").repartition(7))
