@@ -14,10 +14,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..runtime import group_sizes, materialize, same_hot_key, small_broadcast
+from ..runtime import bucketed, forget, group_sizes, materialize, same_hot_key, small_broadcast
 
 SEGMENT = "_segment"
 
@@ -276,17 +275,20 @@ class Lanes:
             self.rows_per_segment, self.largest,
         )
 
-    def persist(self) -> Lanes:
-        """Keep both lanes on the executors' disks, hashed as they are."""
-        for df in (self.plain, self.hot):
-            if df is not None:
-                df.persist(StorageLevel.DISK_ONLY)
-        return self
-
-    def unpersist(self) -> None:
-        for df in (self.plain, self.hot):
-            if df is not None:
-                df.unpersist()
+    def share(self, key: str) -> Lanes:
+        """Store both lanes for several uses; the plain one keeps its hashing by ``key``.
+
+        It is written in as many buckets as there are shuffle partitions, by the same hash, so what is computed per
+        ``key`` from it shuffles no rows again. :meth:`discard` deletes the tables.
+        """
+        return Lanes(
+            bucketed(self.plain, key), None if self.hot is None else materialize(self.hot),
+            self.rows_per_segment, self.largest,
+        )
+
+    def discard(self) -> None:
+        """Delete what :meth:`share` stored, when no plan reads it any more."""
+        forget(*[df for df in (self.plain, self.hot) if df is not None])
 
     def is_empty(self) -> bool:
         return self.plain.isEmpty() and (self.hot is None or self.hot.isEmpty())

@@ -218,16 +218,25 @@ def _settle(moves: Lanes) -> Lanes:
     """
     kind = F.col("eventType")
     moves = moves.ordered(
-        K4, EVENT_ORDER, Previous("_prior", F.struct("eventType", "newState"))
+        K4, EVENT_ORDER, Previous("_prior", F.struct("eventType", "newState")),
+        RunningSum("_turn", F.when(kind == "mathStep", 1).otherwise(0).cast("long")),
     )
+    # What is undone since the last step: undo adds one, redo takes one away down to none. Right for all attempts
+    # that never undo at the bottom of the stack, however many redos are useless.
+    turn, undone = [*K4, "_turn"], F.when(kind == "undo", 1).when(kind == "redo", -1).otherwise(0).cast("long")
+    moves = moves.ordered(turn, EVENT_ORDER, RunningSum("_undone", undone))
+    moves = moves.ordered(turn, EVENT_ORDER, RunningMin("_least", F.col("_undone")))
+    moves = moves.ordered(turn, EVENT_ORDER, Previous(
+        "_open", F.col("_undone") - F.least(F.col("_least"), F.lit(0))))
     found = F.when(F.col("_prior").isNull(), F.col("startState")).when(
         F.col("_prior.eventType") == "mathStep", F.col("_prior.newState")
     ).otherwise(F.col("oldState"))
     guess = (
-        F.when(kind == "undo", -1).when(kind == "redo", 1)
+        F.when(kind == "undo", -1).when(kind == "redo", F.when(F.col("_open") > 0, 1).otherwise(0))
         .when(found.eqNullSafe(F.col("oldState")), 1).otherwise(3)
     )
-    moves = moves.map(lambda df: df.withColumn("_inc", guess.cast("long")).drop("_prior"))
+    moves = moves.map(lambda df: df.withColumn("_inc", guess.cast("long")).drop(
+        "_prior", "_turn", "_undone", "_least", "_open")).store_all()
     while True:
         placed = _stack_depths(moves).store()
         step = (
@@ -320,14 +329,20 @@ def attempt_paths(events: Lanes, tasks: DataFrame) -> Paths:
 
 
 def path_rows(paths: Paths) -> DataFrame:
-    """Paths as text, at most ``STATES_PER_ROW`` states per row; ``piece`` numbers the rows."""
+    """Paths as text, at most ``STATES_PER_ROW`` states per row; ``piece`` numbers the rows.
+
+    The rows do not depend on how a path was found.
+    """
     def text(array):
         return F.concat_ws(" > ", F.transform(array, lambda s: F.coalesce(s, F.lit("null"))))
 
-    rows = paths.short.select(
-        *K4, F.lit(0).cast("long").alias("piece"),
-        F.size("states").cast("long").alias("num_states"),
-        text(F.col("states")).alias("states"), text(F.col("actions")).alias("actions"),
+    size, place = STATES_PER_ROW, F.col("piece").cast("int") * STATES_PER_ROW
+    rows = paths.short.withColumn(
+        "piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.size("states") - 1) / size))),
+    ).select(
+        *K4, "piece", F.size("states").cast("long").alias("num_states"),
+        text(F.slice("states", place + 1, F.lit(size))).alias("states"),
+        text(F.slice("actions", F.greatest(place, F.lit(1)), F.when(place == 0, size - 1).otherwise(size))).alias("actions"),
         "reached_goal", "path_anomaly",
     )
     if paths.long is None:

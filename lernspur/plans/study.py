@@ -16,6 +16,7 @@ from ..operators.paths import attempt_paths, path_events
 from ..operators.quality import check_tasks
 from ..operators.visits import attempt_events, event_lanes, normalize_visits
 from ..runtime import materialize, rows_of
+from ..schemas import STUDENT
 from ..sources import files, records
 from .outputs import check_formats, study_info_lines, write_study_info, write_table
 
@@ -39,18 +40,16 @@ def problem_graphs(events: DataFrame | Lanes, tasks: DataFrame) -> ProblemGraphs
 def aggregate_events(events: DataFrame | Lanes, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Event log -> (attempt table with classes, student x task table).
 
-    Both branches, attempts and paths, start from the normalised log. It is kept on the
-    executors' disks in its hash partitioning meanwhile, so the log is shuffled once. The
-    attempt rows are stored, as both results are made from them. Every task number of the
-    events needs exactly one row in ``tasks``, else this is a ValueError; lanes come checked.
+    Both branches, attempts and paths, start from the normalised log. It is stored once, in buckets by
+    student, so the log's rows are shuffled once and neither branch moves them again. The
+    attempt rows are stored, as both results are made from them; then the shared log is deleted. Every task
+    number of the events needs exactly one row in ``tasks``, else this is a ValueError; lanes come checked.
     """
     lanes = events if isinstance(events, Lanes) else event_lanes(_checked(events, tasks))
-    normalized = normalize_visits(lanes).persist()
-    try:
-        paths = attempt_paths(path_events(normalized), tasks).store()
-        attempts = att.attempt_lanes(attempt_events(normalized)).store_all()
-    finally:
-        normalized.unpersist()
+    normalized = normalize_visits(lanes).share(STUDENT)
+    paths = attempt_paths(path_events(normalized), tasks).store()
+    attempts = att.attempt_lanes(attempt_events(normalized)).store_all()
+    normalized.discard()
     table = attempts.merge().select(*att.ATTEMPT_COLUMNS)
     return (
         attempt_with_class(table, classify_attempts(ProblemGraphs(paths))),

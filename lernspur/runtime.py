@@ -53,10 +53,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return stored
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """As :func:`materialize`, in buckets of ``key`` that later steps on it need not shuffle again."""
+    spark = df.sparkSession
+    name = f"lernspur_{uuid.uuid4().hex}"
+    path = f"{table_root(spark)}/lernspur-tables/{name}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    stored = spark.table(name)
+    stored.__dict__.update(_lernspur_path=path, _lernspur_table=name)
+    return stored
+
+
 def forget(*tables: DataFrame) -> None:
-    """Delete tables made by :func:`materialize` that no plan reads any more."""
+    """Delete tables made by :func:`materialize` or :func:`bucketed` that no plan reads any more."""
     for stored in tables:
         spark = stored.sparkSession
+        if "_lernspur_table" in stored.__dict__:
+            spark.sql(f"DROP TABLE IF EXISTS {stored.__dict__['_lernspur_table']}")
         path = spark._jvm.org.apache.hadoop.fs.Path(stored.__dict__["_lernspur_path"])
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

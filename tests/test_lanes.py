@@ -1,9 +1,12 @@
 """Hot groups and long attempts take other ways to the same rows."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
+from lernspur.operators import attempts as att
 from lernspur.operators import graph as gr
 from lernspur.operators import paths as pt
 from lernspur.operators import visits
@@ -82,15 +85,55 @@ def test_long_attempts(spark, data, settings, usual, limit, hot):
 def test_long_paths_are_cut_into_pieces(spark, data, settings, usual, monkeypatch):
     settings(foldEvents=0)
     monkeypatch.setattr(pt, "STATES_PER_ROW", 2)
-    df = QUERIES["attempt_paths"](spark, data)
-    assert df.where("piece > 0").count() > 0
+    cut = rows(QUERIES["attempt_paths"](spark, data))
+    settings(foldEvents=10_000)
+    folded = QUERIES["attempt_paths"](spark, data)
+    assert folded.where("piece > 0").count() > 0
+    assert rows(folded) == cut
     whole = (
-        df.orderBy("piece").groupBy("studentSessionId", "taskNumber", "attemptHlc", "visitId")
-        .agg(F.concat_ws(" > ", F.transform(F.array_sort(F.collect_list(F.struct("piece", "states"))),
-                                            lambda s: s["states"])).alias("states"))
+        folded.groupBy("studentSessionId", "taskNumber", "attemptHlc", "visitId", "num_states")
+        .agg(F.array_sort(F.collect_list(F.struct("piece", "states", "actions"))).alias("p"))
+        .select("studentSessionId", "taskNumber", "attemptHlc", "visitId", "num_states",
+                F.concat_ws(" > ", "p.states").alias("states"),
+                F.concat_ws(" > ", F.filter(F.col("p.actions"), lambda a: a != "")).alias("actions"))
     )
-    folded = pt.path_rows(_paths(spark, data, settings, 1000))
-    assert rows(whole) == rows(folded.select(*whole.columns))
+    monkeypatch.undo()
+    assert rows(whole) == rows(QUERIES["attempt_paths"](spark, data).select(*whole.columns))
+
+
+def test_useless_redos_take_no_rounds(spark, settings, monkeypatch):
+    """An attempt with hundreds of redos that have nothing to redo is settled by the first guess."""
+    settings(foldEvents=0)
+    kinds = ["mathStep", "mathStep", *["redo"] * 120, "undo", "redo", "redo", "redo", "mathStep", "undo", "undo", "redo", "solvedTask"]
+    events = [("s", 1, "a", "v", i, k, f"n{i - 1}" if i in (1,) else "S" if i == 0 else "n1", f"n{i}" if k == "mathStep" else None, "op")
+              for i, k in enumerate(kinds)]
+    df = spark.createDataFrame(
+        events, "studentSessionId string, taskNumber int, attemptHlc string, visitId string, seq long, eventType string,"
+        " oldState string, newState string, actionName string").withColumn("timestamp", F.timestamp_seconds("seq"))
+    tasks = spark.createDataFrame([(1, "S", "G")], "taskNumber int, startState string, goalState string")
+    rounds = []
+    depths = pt._stack_depths
+    monkeypatch.setattr(pt, "_stack_depths", lambda moves: rounds.append(1) or depths(moves))
+    lanes = Lanes.split(df, "studentSessionId", ["studentSessionId", "timestamp", "seq"])
+    walked = rows(pt.path_rows(pt.attempt_paths(lanes, tasks)))
+    assert len(rounds) == 1
+    settings(foldEvents=1_000)
+    assert walked == rows(pt.path_rows(pt.attempt_paths(lanes, tasks)))
+
+
+def test_shared_log_is_not_shuffled_again(spark, data):
+    """Both branches of the attempt table reuse the buckets of the stored log."""
+    lanes = visits.normalize_visits(clickstream_lanes(spark.read.parquet(f"{data}/events.parquet")))
+    shared = lanes.share("studentSessionId")
+    tables = [att.attempt_lanes(visits.attempt_events(shared)).plain, pt.path_events(shared).plain,
+              pt.attempt_paths(pt.path_events(shared), clickstream_tasks(spark)).short]
+    for df in tables:
+        assert _exchanges(df) == 0
+    assert rows(tables[0]) == rows(att.attempt_lanes(visits.attempt_events(lanes)).plain)
+    path = shared.plain.__dict__["_lernspur_path"]
+    assert os.path.isdir(path.removeprefix("file:"))
+    shared.discard()
+    assert not os.path.isdir(path.removeprefix("file:"))
 
 
 def _paths(spark, data, settings, limit):
