@@ -4,8 +4,8 @@ Every n-gram of a language, single words included, has a 64-bit hash; its leadin
 what they read and send each partition a summary of (hash, count). Summaries of a partition are merged into one of
 bounded capacity: where there are more counters, the largest one that does not fit is taken from all, and those that
 fall to zero go. A counter loses at most mass / (capacity + 1) that way over all merges, so with a capacity of mass / threshold,
-rounded down, no n-gram that occurs ``threshold`` times can be lost. The survivors, with some rarer ones, fill a bitmap of
-fixed size, by which the second pass picks n-grams to be counted by their full text; that count is exact and
+rounded down, no n-gram that occurs ``threshold`` times can be lost. Those whose counter and this loss may add up to the
+threshold fill a bitmap of fixed size, by which the second pass picks n-grams to be counted by their full text; that count is exact and
 decides. A hash that several n-grams share, or a bit, only brings more of them to the second pass.
 
 Parts of a frequent phrase are frequent themselves, so the counted n-grams hold all that a score needs.
@@ -166,14 +166,19 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 # ---------------------------------------------------------------- first pass: summaries
 
-def merged(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """A Misra-Gries summary of at most ``capacity`` counters from counters of which some may have equal keys."""
+def merged(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """A Misra-Gries summary of at most ``capacity`` counters from counters of which some may have equal keys.
+
+    Third comes what was taken from every counter: no key occurs more often than its counter and all that was
+    taken in the merges, and one without a counter no more often than the latter.
+    """
     keys, at = np.unique(keys, return_inverse=True)
     counts = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
-    if len(keys) > capacity:
-        counts = counts - np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1]
-        keys, counts = keys[counts > 0], counts[counts > 0]
-    return keys, counts
+    if len(keys) <= capacity:
+        return keys, counts, 0
+    cut = int(np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1])
+    counts = counts - cut
+    return keys[counts > 0], counts[counts > 0], cut
 
 
 def _packed(low: np.ndarray) -> bytes:
@@ -236,16 +241,17 @@ def _survivors(summaries: DataFrame, bits: int, size: int, threshold: int) -> np
         n = [np.frombuffer(x, "<u4") for x in table.column("n").to_pylist()]
         mass = pc.sum(pc.binary_length(once)).as_py() // 3 + sum(int(x.sum(dtype=np.int64)) for x in n)
         capacity = mass // threshold
-        keys, counts, held = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
+        keys, counts, held, taken = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0, 0
         for own, several, times in zip(once, more, n):
             own, several = _unpacked(own.as_py()), _unpacked(several.as_py())
             keys += [own, several]
             counts += [np.ones(len(own), np.int64), times]
             held += len(own) + len(several)
             if held > 2 * capacity + 1_000_000:
-                keys, counts = ([x] for x in merged(np.concatenate(keys), np.concatenate(counts), capacity))
-                held = len(keys[0])
-        found, _ = merged(np.concatenate(keys), np.concatenate(counts), capacity)
+                own, n_own, cut = merged(np.concatenate(keys), np.concatenate(counts), capacity)
+                keys, counts, held, taken = [own], [n_own], len(own), taken + cut
+        found, n_found, cut = merged(np.concatenate(keys), np.concatenate(counts), capacity)
+        found = found[n_found + taken + cut >= threshold]
         bitmap = np.zeros(stretch, bool)
         bitmap[found >> np.uint32(LOW_BITS - (size - bits))] = True
         return pa.Table.from_pydict(
