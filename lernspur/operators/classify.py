@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..runtime import join_lookup
 from ..schemas import K4, MISSING_NODE, STUDENT
 from .graph import ALL_STUDENTS, NODE, ProblemGraphs
-from .paths import path_nodes, path_outcomes
+from .paths import path_nodes, path_outcomes, undecided
 
 
 def classify_attempts(graphs: ProblemGraphs) -> DataFrame:
@@ -21,10 +21,9 @@ def classify_attempts(graphs: ProblemGraphs) -> DataFrame:
         join_lookup(path_outcomes(graphs.paths), graphs.tasks, ["taskNumber"]),
         graphs.lengths, ["taskNumber"],
     ).withColumn("_reached", F.coalesce(F.col("last_state") == F.col("goalState"), F.lit(False)))
-    unsolved = outcomes.where(~F.col("has_missing") & ~F.col("_reached")).select(*K4)
 
-    # Only attempts whose class depends on it are compared with the dead ends.
-    nodes = path_nodes(graphs.paths)
+    # Only attempts whose class depends on it are compared with the dead ends; the others' states are not even unpacked.
+    nodes = path_nodes(undecided(graphs.paths))
     nodes = join_lookup(nodes, graphs.tasks, ["taskNumber"]).where(
         ~F.col("node").eqNullSafe(F.col("startState")) & (F.col("node") != MISSING_NODE)
     ).select(*K4, "node", F.explode(F.array(F.lit(ALL_STUDENTS), F.col(STUDENT))).alias("scope"))
@@ -32,7 +31,6 @@ def classify_attempts(graphs: ProblemGraphs) -> DataFrame:
         F.bool_or(F.col("scope") == ALL_STUDENTS).alias("_dead_all"),
         F.bool_or(F.col("scope") != ALL_STUDENTS).alias("_dead_own"),
     )
-    touched = unsolved.join(touched, K4)
 
     def outcome(dead):
         return (

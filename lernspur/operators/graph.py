@@ -7,9 +7,10 @@ until nothing changes and store each round's new rows, never the whole graph aga
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
-from pyspark import InheritableThread
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import HOP_ROUNDS, join_lookup, materialize, rows_of, setting
@@ -28,7 +29,9 @@ def _weight() -> Column:
     return F.when(missing, MISSING_WEIGHT).otherwise(STEP_WEIGHT).cast("long")
 
 
-EDGE_COLUMNS = ["prev", "new", "attempt_count", "math_trans_type", "weight", "to_goal"]
+# What only the search for shortest solutions and dead ends needs: see ``path_edges``.
+SEEN = ["to_goal", "reach", "left"]
+EDGE_COLUMNS = ["prev", "new", "attempt_count", "math_trans_type", "weight", *SEEN]
 # "First" goes through students in id order, then through their attempts in time order.
 FIRST_SEEN = f"struct({STUDENT}, started, attemptHlc, visitId, pos)"
 
@@ -39,7 +42,7 @@ def _edges(steps: DataFrame, *keys: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("attempt_count"),
             F.expr(f"min(struct({FIRST_SEEN} AS at, action))").alias("first_seen"),
-            F.max("to_goal").alias("to_goal"),
+            F.max("to_goal").alias("to_goal"), F.min("reach").alias("reach"), F.min("left").alias("left"),
         )
         .withColumns({"weight": _weight(), "math_trans_type": F.col("first_seen.action")})
     )
@@ -66,7 +69,7 @@ def merge_student_edges(own: DataFrame) -> DataFrame:
         F.sum("attempt_count").alias("attempt_count"),
         F.min("first_seen")["action"].alias("math_trans_type"),
         F.first("weight").alias("weight"),
-        F.max("to_goal").alias("to_goal"),
+        F.max("to_goal").alias("to_goal"), F.min("reach").alias("reach"), F.min("left").alias("left"),
     ).select("taskNumber", *EDGE_COLUMNS)
 
 
@@ -95,15 +98,18 @@ def retract_edges(edges: DataFrame, removed: DataFrame) -> DataFrame:
 # --- states that lead to the goal ---------------------------------------------------
 
 
-def leads_to_goal(edges: DataFrame, steps: DataFrame) -> DataFrame:
+def leads_to_goal(edges: DataFrame, steps: DataFrame, tasks: DataFrame) -> DataFrame:
     """All (scope, node) from which the goal can be reached within the scope's graph.
 
     ``edges`` is the stored edge table of all scopes. Paths that visit the goal settle most
     states without a join. The rest is found backwards, one transition per round; in a graph
-    so deep that this takes long, whole attempts are walked instead.
+    so deep that this takes long, whole attempts are walked instead. The goal leads to itself, also where it
+    is the start.
     """
-    seeds = edges.where("to_goal").select(
-        *SCOPE, F.explode(F.array("prev", "new")).alias("node")
+    ends = F.array("prev", "new")
+    seeds = join_lookup(edges, tasks.select("taskNumber", "goalState"), ["taskNumber"], rows=rows_of(tasks)).select(
+        *SCOPE, F.explode(F.when(F.col("to_goal"), ends).otherwise(
+            F.filter(ends, lambda n: n == F.col("goalState")))).alias("node")
     ).distinct()
     frontier = materialize(seeds)
     found, open_edges = [frontier], edges.where("NOT to_goal").select(*SCOPE, "prev", "new")
@@ -172,42 +178,66 @@ def dead_ends(edges: DataFrame, tasks: DataFrame, leading: DataFrame) -> DataFra
 # --- shortest solutions -------------------------------------------------------------
 
 
-def start_distances(edges: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Cheapest way from the start: (taskNumber, node) -> ``cost(weight, hops)``.
+def _cheapest(costs: DataFrame) -> DataFrame:
+    return costs.groupBy("taskNumber", "node").agg(F.min("cost").alias("cost"))
+
+
+def _nothing() -> Column:
+    return F.struct(F.lit(0).cast("long").alias("weight"), F.lit(0).cast("long").alias("hops"))
 
-    ``edges`` is the stored edge table of whole tasks. Each round extends the ways improved
-    in the round before. Ways already as long as a known solution are not extended, so
-    distances are exact up to the goal's and absent beyond it.
+
+def _distances(arcs: DataFrame, seen: DataFrame, ends: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(taskNumber, node) -> ``cost(weight, hops)`` from any of ``ends`` along ``arcs`` (node, new); stored.
+
+    What attempts were seen to need (``seen``) is where the search starts, so rounds are needed only where the cheapest
+    way is put together from several attempts, however long it is. A round goes on from the nodes that became cheaper
+    in the one before, in tasks of ``bounds``; no way longer than its task's ``_bound`` is followed, and costs beyond
+    that are upper bounds.
     """
-    n_tasks = rows_of(tasks)
-    arcs = edges.select("taskNumber", F.col("prev").alias("node"), "new", "weight")
-    starts = join_lookup(edges.select("taskNumber", "prev").distinct(), tasks, ["taskNumber"])
-    frontier = materialize(starts.where("prev = startState").selectExpr(
-        "taskNumber", "prev AS node", "named_struct('weight', 0L, 'hops', 0L) AS cost"))
-
-    def cheapest(costs):
-        return costs.groupBy("taskNumber", "node").agg(F.min("cost").alias("cost"))
-
-    known = frontier
-    round_ = 0
-    while rows_of(frontier) > 0:
-        round_ += 1
-        best = cheapest(known).withColumnRenamed("cost", "_best")
-        bound = join_lookup(best, tasks, ["taskNumber"], rows=n_tasks).where(
-            "node = goalState").selectExpr("taskNumber", "_best.weight AS _bound")
-        reached = cheapest(join_lookup(arcs, frontier, ["taskNumber", "node"]).selectExpr(
+    size = rows_of(bounds)
+    seen = join_lookup(seen.where("cost IS NOT NULL"), bounds.select("taskNumber"), ["taskNumber"], "left_semi", size)
+    known = frontier = materialize(_cheapest(seen.unionByName(ends)))
+    while True:
+        near = join_lookup(frontier, bounds, ["taskNumber"], rows=size).where(
+            "_bound IS NULL OR cost.weight <= _bound").drop("_bound")
+        reached = _cheapest(join_lookup(arcs, near, ["taskNumber", "node"], rows=rows_of(frontier)).selectExpr(
             "taskNumber", "new AS node",
             "named_struct('weight', cost.weight + weight, 'hops', cost.hops + 1) AS cost"))
-        frontier = materialize(
-            join_lookup(reached, bound, ["taskNumber"], "left", n_tasks)
-            .join(best, ["taskNumber", "node"], "left")
-            .where("(_bound IS NULL OR cost.weight <= _bound) AND (_best IS NULL OR cost < _best)")
-            .select("taskNumber", "node", "cost")
-        )
-        known = known.unionByName(frontier)
-        if round_ % 8 == 0:
-            known = materialize(cheapest(known))
-    return materialize(cheapest(known))
+        better = materialize(
+            reached.join(known.withColumnRenamed("cost", "_known"), ["taskNumber", "node"], "left")
+            .where("_known IS NULL OR cost < _known").drop("_known"))
+        if rows_of(better) == 0:
+            return known
+        frontier = better
+        known = materialize(_cheapest(known.unionByName(better)))
+
+
+def start_distances(edges: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Cheapest way from the start: (taskNumber, node) -> ``cost(weight, hops)``, in tasks that were solved.
+
+    ``edges`` is the stored edge table of whole tasks. Costs are exact up to the goal's, and upper bounds beyond.
+    """
+    known = join_lookup(edges, tasks, ["taskNumber"], rows=rows_of(tasks))
+    starts = known.where("prev = startState").select("taskNumber", F.col("prev").alias("node")).distinct()
+    at_goal = F.when(F.col("new") == F.col("goalState"), F.col("reach.weight"))
+    bounds = materialize(
+        known.groupBy("taskNumber").agg(
+            F.bool_or((F.col("new") == F.col("goalState")) | (F.col("startState") == F.col("goalState"))).alias("_solved"),
+            F.min(at_goal).alias("_bound")).where("_solved").drop("_solved"))
+    arcs = edges.select("taskNumber", F.col("prev").alias("node"), "new", "weight")
+    seen = edges.select("taskNumber", F.col("new").alias("node"), F.col("reach").alias("cost"))
+    ends = join_lookup(starts, bounds.select("taskNumber"), ["taskNumber"], "left_semi", rows_of(bounds))
+    return _distances(arcs, seen, ends.withColumn("cost", _nothing()), bounds)
+
+
+def goal_distances(edges: DataFrame, lengths: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Cheapest way on to the goal, as :func:`start_distances`; ``lengths`` is ``optimal_lengths``, stored."""
+    bounds = materialize(lengths.where("problem_solved").select("taskNumber", F.col("optimal_weight").alias("_bound")))
+    arcs = edges.select("taskNumber", F.col("new").alias("node"), F.col("prev").alias("new"), "weight")
+    seen = edges.select("taskNumber", F.col("prev").alias("node"), F.col("left").alias("cost"))
+    ends = join_lookup(tasks.select("taskNumber", F.col("goalState").alias("node")), bounds.select("taskNumber"),
+                       ["taskNumber"], "left_semi", rows_of(bounds))
+    return _distances(arcs, seen, ends.withColumn("cost", _nothing()), bounds)
 
 
 def optimal_lengths(distances: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -219,28 +249,17 @@ def optimal_lengths(distances: DataFrame, tasks: DataFrame) -> DataFrame:
     )
 
 
-def best_path_edges(edges: DataFrame, distances: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Edges lying on any cheapest solution, found backwards from the goal.
+def best_path_edges(edges: DataFrame, distances: DataFrame, back: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Edges lying on any cheapest solution: the ways to and from them add up to its weight."""
+    def cost(costs, name, end):
+        return costs.selectExpr("taskNumber", f"node AS {end}", f"cost.weight AS {name}")
 
-    Only tight edges, which lose no distance, can lie on one; they form no cycle.
-    """
-    def cost(name, end):
-        return distances.selectExpr("taskNumber", f"node AS {end}", f"cost.weight AS {name}")
-
-    size = rows_of(distances)
-    tight = join_lookup(edges, cost("_from", "prev"), ["taskNumber", "prev"], rows=size)
-    tight = materialize(
-        join_lookup(tight, cost("_to", "new"), ["taskNumber", "new"], rows=size)
-        .where("_from + weight = _to").drop("_from", "_to", "to_goal")
-    )
-    heads, size = tasks.select("taskNumber", F.col("goalState").alias("new")), rows_of(tasks)
-    found = []
-    while True:
-        step = materialize(join_lookup(tight, heads, ["taskNumber", "new"], "left_semi", size))
-        if found and rows_of(step) == 0:
-            return materialize(_union(found).distinct())
-        found.append(step)
-        heads, size = step.selectExpr("taskNumber", "prev AS new").distinct(), rows_of(step)
+    solved = lengths.where("problem_solved").select("taskNumber", "optimal_weight")
+    on_way = join_lookup(edges.drop(*SEEN), solved, ["taskNumber"], rows=rows_of(lengths))
+    on_way = join_lookup(on_way, cost(distances, "_from", "prev"), ["taskNumber", "prev"], rows=rows_of(distances))
+    on_way = join_lookup(on_way.where("_from + weight <= optimal_weight"), cost(back, "_to", "new"),
+                         ["taskNumber", "new"], rows=rows_of(back))
+    return materialize(on_way.where("_from + weight + _to = optimal_weight").drop("_from", "_to", "optimal_weight"))
 
 
 def best_path_nodes(best_edges: DataFrame, tasks: DataFrame) -> DataFrame:
@@ -318,14 +337,12 @@ class ProblemGraphs:
     def prepare(self) -> None:
         """Work out dead ends and shortest lengths side by side; neither needs the other."""
         self.edges  # both start from here
-        threads = [
-            InheritableThread(target=lambda name=name: getattr(self, name), session=self.edges.sparkSession)
-            for name in ("dead", "lengths")
-        ]
-        for t in threads:
-            t.start()
-        for t in threads:
-            t.join()
+        spark = self.edges.sparkSession
+        with ThreadPoolExecutor(2) as pool:
+            both = [pool.submit(inheritable_thread_target(spark)(lambda name=name: getattr(self, name)))
+                    for name in ("dead", "lengths")]
+        for one in both:
+            one.result()  # raises what was raised there
 
     @cached_property
     def steps(self) -> DataFrame:
@@ -346,7 +363,7 @@ class ProblemGraphs:
 
     @cached_property
     def leading(self) -> DataFrame:
-        return leads_to_goal(self.scoped, self.steps)
+        return leads_to_goal(self.scoped, self.steps, self.tasks)
 
     @cached_property
     def dead(self) -> DataFrame:
@@ -360,9 +377,13 @@ class ProblemGraphs:
     def lengths(self) -> DataFrame:
         return materialize(optimal_lengths(self.distances, self.tasks))
 
+    @cached_property
+    def back(self) -> DataFrame:
+        return goal_distances(self.edges, self.lengths, self.tasks)
+
     @cached_property
     def best_edges(self) -> DataFrame:
-        return best_path_edges(self.edges, self.distances, self.tasks)
+        return best_path_edges(self.edges, self.distances, self.back, self.lengths)
 
     @cached_property
     def best_nodes(self) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import FOLD_EVENTS, join_lookup, materialize, rows_of, setting
 from ..schemas import (
-    EVENT_ORDER, K4, MISSING_ACTION, MISSING_NODE, NO_PATH_EVENTS, NO_PATH_RESET_REASONS,
+    EVENT_ORDER, K4, MISSING_ACTION, MISSING_NODE, MISSING_WEIGHT, NO_PATH_EVENTS, NO_PATH_RESET_REASONS, STEP_WEIGHT,
 )
 from .ordered import Lanes, LastSeen, Previous, RunningMin, RunningSum, Whole, at
 from .visits import drop_empty_visits
@@ -366,17 +366,31 @@ def path_edges(paths: Paths) -> DataFrame:
     """One row per transition of a path.
 
     ``to_goal`` marks transitions at or before the last visit of the goal in that path;
-    both of their states are then known to lead to the goal. ``paths`` should be stored:
-    filters on the exploded arrays would otherwise run the fold a second time.
+    both of their states are then known to lead to the goal. ``reach`` is what the path cost (weight, hops) up to
+    the transition's end, and ``left`` what it cost from its beginning on to that visit of the goal; either is null
+    where it is not known. ``paths`` should be stored: filters on the exploded arrays would otherwise run the
+    fold a second time.
     """
     tasks, n_tasks = paths.tasks.select("taskNumber", "goalState"), rows_of(paths.tasks)
     short = join_lookup(paths.short, tasks, ["taskNumber"], rows=n_tasks)
     last_goal = F.size("states") - F.array_position(F.reverse("states"), F.col("goalState"))
     last_goal = F.when(F.array_contains("states", F.col("goalState")), last_goal).otherwise(-1)
+    places = F.sequence(F.lit(0), F.size("states") - 1)
+    missing = F.filter(places, lambda i: F.get("states", i).eqNullSafe(F.lit(MISSING_NODE)))
+
+    def cost(upto):
+        """Weight of the first ``upto`` transitions: those to and from a missing state weigh more."""
+        touched = F.size(F.filter("_missing", lambda i: i <= upto)) + F.size(F.filter("_missing", lambda i: i < upto))
+        return upto * STEP_WEIGHT + touched * (MISSING_WEIGHT - STEP_WEIGHT)
+
+    def both(weight, hops):
+        return F.struct(weight.cast("long").alias("weight"), hops.cast("long").alias("hops"))
+
+    pos, last = F.col("_i") + 1, F.col("_last_goal")
     edges = (
-        short.withColumn("_last_goal", F.coalesce(last_goal, F.lit(-1)))
+        short.withColumns({"_last_goal": F.coalesce(last_goal, F.lit(-1)), "_missing": missing})
         .select(
-            *K4, "started", "_last_goal",
+            *K4, "started", "_last_goal", "_missing",
             F.posexplode(F.arrays_zip(
                 F.slice("states", F.lit(1), F.size("states") - 1).alias("prev"),
                 F.slice("states", F.lit(2), F.size("states") - 1).alias("new"),
@@ -384,27 +398,49 @@ def path_edges(paths: Paths) -> DataFrame:
             )).alias("_i", "_e"),
         )
         .select(
-            *K4, "started", (F.col("_i") + 1).cast("long").alias("pos"),
+            *K4, "started", pos.cast("long").alias("pos"),
             F.col("_e.prev").alias("prev"), F.col("_e.new").alias("new"),
-            F.col("_e.action").alias("action"),
-            (F.col("_i") + 1 <= F.col("_last_goal")).alias("to_goal"),
+            F.col("_e.action").alias("action"), (pos <= last).alias("to_goal"), both(cost(pos), pos).alias("reach"),
+            F.when(pos <= last, both(cost(last) - cost(F.col("_i")), last - F.col("_i"))).alias("left"),
         )
     )
     if paths.long is None:
         return edges
-    goals = join_lookup(paths.long, tasks, ["taskNumber"], rows=n_tasks).where("state = goalState")
-    last = materialize(goals.groupBy(*K4).agg(F.max("pos").alias("_last_goal")))
-    heads = join_lookup(paths.long.where(F.col("pos") > 0), last, K4, "left")
+    long = join_lookup(paths.long, tasks, ["taskNumber"], rows=n_tasks)
+    about = materialize(long.groupBy(*K4).agg(
+        F.max(F.when(F.col("state") == F.col("goalState"), F.col("pos"))).alias("_last_goal"),
+        F.bool_or(F.col("state").eqNullSafe(F.lit(MISSING_NODE))).alias("_gap")))
+    heads = join_lookup(paths.long.where(F.col("pos") > 0), about, K4, "left")
     # (key, position) is unique on both sides, so no join key is hot.
     tails = paths.long.select(*K4, (F.col("pos") + 1).alias("pos"), F.col("state").alias("prev"))
+    pos, to_goal = F.col("pos"), F.coalesce(F.col("pos") <= last, F.lit(False))
+    ahead = last - pos + 1
     return edges.unionByName(
         heads.join(tails, [*K4, "pos"]).select(
-            *K4, "started", "pos", "prev", F.col("state").alias("new"), "action",
-            F.coalesce(F.col("pos") <= F.col("_last_goal"), F.lit(False)).alias("to_goal"),
+            *K4, "started", "pos", "prev", F.col("state").alias("new"), "action", to_goal.alias("to_goal"),
+            F.when(~F.col("_gap"), both(pos * STEP_WEIGHT, pos)).alias("reach"),
+            F.when(~F.col("_gap") & to_goal, both(ahead * STEP_WEIGHT, ahead)).alias("left"),
         )
     )
 
 
+def undecided(paths: Paths) -> Paths:
+    """The attempts that neither end at the goal nor have missing states."""
+    rows = rows_of(paths.tasks)
+    goals = paths.tasks.select("taskNumber", "goalState")
+    short = join_lookup(paths.short, goals, ["taskNumber"], rows=rows).where(
+        ~F.coalesce(F.array_contains("states", MISSING_NODE), F.lit(False))
+        & ~F.coalesce(F.element_at("states", -1) == F.col("goalState"), F.lit(False))).drop("goalState")
+    if paths.long is None:
+        return Paths(short, None, paths.tasks)
+    last = F.col("pos") == F.col("num_states") - 1
+    decided = materialize(
+        join_lookup(paths.long, goals, ["taskNumber"], rows=rows)
+        .where((F.col("state") == MISSING_NODE) | (last & (F.col("state") == F.col("goalState"))))
+        .select(*K4).distinct())
+    return Paths(short, join_lookup(paths.long, decided, K4, "left_anti"), paths.tasks)
+
+
 def path_nodes(paths: Paths) -> DataFrame:
     """Distinct states per attempt-visit (long paths: one row per state)."""
     nodes = paths.short.select(*K4, F.explode(F.array_distinct("states")).alias("node"))

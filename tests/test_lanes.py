@@ -148,7 +148,7 @@ def test_deep_graphs(spark, data, settings, rounds):
     graphs = gr.ProblemGraphs(_paths(spark, data, settings, 1000).store())
     expected = rows(graphs.leading)
     settings(hopRounds=rounds)
-    assert rows(gr.leads_to_goal(graphs.scoped, graphs.steps)) == expected
+    assert rows(gr.leads_to_goal(graphs.scoped, graphs.steps, graphs.tasks)) == expected
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
