@@ -30,7 +30,7 @@ def query(select, *needs):
     def visit(name):
         for n in NEEDS[name]:
             visit(n)
-        if name not in order:
+        if name not in order and name in CTE:
             order.append(name)
 
     for n in needs:
@@ -273,28 +273,28 @@ WHERE node <> 'missing_node' AND NOT (scope <> '' AND node IN ('S', 'G'))
   AND NOT EXISTS (SELECT 1 FROM leads l WHERE l.taskNumber = n.taskNumber AND l.scope = n.scope AND l.node = n.node)""",
     "nodes", "leads")
 
-# Ways from the start of at most eight transitions; enough whenever a cheapest solution is
-# shorter than that.
-cte("ways", """
-SELECT DISTINCT taskNumber, 'S' AS node, CAST(0 AS BIGINT) AS w, CAST(0 AS BIGINT) AS h FROM edges WHERE prev = 'S'
+# The cheapest way from the start to each node, and from each node to the goal: in rounds, each going on from what became
+# cheaper in the one before, until nothing does.
+def cheapest_ways(name, source, end, other):
+    cte(f"{name}(taskNumber, node, w, h) USING KEY (taskNumber, node)", f"""
+SELECT DISTINCT taskNumber, '{source}' AS node, CAST(0 AS BIGINT) AS w, CAST(0 AS BIGINT) AS h FROM edges WHERE {end} = '{source}'
 UNION
-SELECT e.taskNumber, e.new, y.w + e.weight, y.h + 1 FROM ways y JOIN edges e
-  ON e.taskNumber = y.taskNumber AND e.prev = y.node WHERE y.h < 8""", "edges")
-cte("dist", "SELECT taskNumber, node, min(w) AS w FROM ways GROUP BY ALL", "ways")
-cte("best", """
-SELECT taskNumber, w, min(h) AS h FROM ways JOIN (SELECT taskNumber, min(w) AS w FROM ways WHERE node = 'G' GROUP BY ALL)
-  USING (taskNumber, w) WHERE node = 'G' GROUP BY ALL""", "ways")
-cte("back", """
-SELECT taskNumber, 'G' AS node, CAST(0 AS BIGINT) AS w, CAST(0 AS BIGINT) AS h FROM best
-UNION
-SELECT e.taskNumber, e.prev, b.w + e.weight, b.h + 1 FROM back b JOIN edges e
-  ON e.taskNumber = b.taskNumber AND e.new = b.node WHERE b.h < 8""", "best", "edges")
-cte("back_dist", "SELECT taskNumber, node, min(w) AS w FROM back GROUP BY ALL", "back")
+SELECT n.taskNumber, n.node, n.c.w, n.c.h
+FROM (SELECT e.taskNumber, e.{other} AS node, min(struct_pack(w := y.w + e.weight, h := y.h + 1)) AS c
+  FROM {name} y JOIN edges e ON e.taskNumber = y.taskNumber AND e.{end} = y.node GROUP BY ALL) n
+LEFT JOIN recurring.{name} r ON r.taskNumber = n.taskNumber AND r.node = n.node
+WHERE r.w IS NULL OR n.c < struct_pack(w := r.w, h := r.h)""", "edges")
+    NEEDS[name] = [f"{name}(taskNumber, node, w, h) USING KEY (taskNumber, node)"]
+
+
+cheapest_ways("ways", "S", "prev", "new")
+cheapest_ways("back", "G", "new", "prev")
+cte("best", "SELECT taskNumber, w, h FROM ways WHERE node = 'G'", "ways")
 cte("best_edges", """
-SELECT e.* FROM edges e JOIN dist d ON d.taskNumber = e.taskNumber AND d.node = e.prev
-  JOIN back_dist b ON b.taskNumber = e.taskNumber AND b.node = e.new
+SELECT e.* FROM edges e JOIN ways d ON d.taskNumber = e.taskNumber AND d.node = e.prev
+  JOIN back b ON b.taskNumber = e.taskNumber AND b.node = e.new
   JOIN best x ON x.taskNumber = e.taskNumber
-WHERE d.w + e.weight + b.w = x.w""", "edges", "dist", "back_dist", "best")
+WHERE d.w + e.weight + b.w = x.w""", "edges", "ways", "back", "best")
 cte("best_nodes", """
 SELECT taskNumber, node FROM (
   SELECT taskNumber, prev AS node FROM best_edges UNION SELECT taskNumber, new FROM best_edges)
