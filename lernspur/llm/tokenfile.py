@@ -38,7 +38,7 @@ SAMPLE_DOCS = 1_000
 SAMPLE_IDS = 4_096
 BLOCK_BYTES = 4 << 20
 LEVEL = 3
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 200_000  # of each kind, in a task
 
 # Between non-spaces, a space starts a pre-token and a line feed is one; text may be cut there.
 _CUT = re.compile(r"(?<=[^\s])(?= [^\s])|(?<=[^\s])(?=\n[^\s])|(?<=[^\s]\n)(?=[^\s])")
@@ -55,7 +55,7 @@ def _lines(text: str) -> list[str] | None:
 
 
 class _Segments:
-    """Ids of text segments, remembered in the worker process up to a fixed number."""
+    """Ids of text segments, remembered up to a fixed number and until :meth:`forget`."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -83,6 +83,10 @@ class _Segments:
         known.update((w, known[w[:-1]] + marks[w[-1]]) for w in ends)
         return [*cores, *ends]
 
+    def forget(self) -> None:
+        """Let go of all segments, as a task does at its end: worker processes outlive tasks."""
+        self.first, self.after = {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32, without an end id."""
         gc.disable()  # millions of strings, no cycles
@@ -123,7 +127,7 @@ def _segments(path: str) -> _Segments:
     return _tokenizers[path]
 
 
-def _groups(texts: list[str], size: int = 2 << 20):
+def _groups(texts: list[str], size: int = 1 << 20):
     """Runs of texts of about ``size`` characters."""
     i, held = 0, 0
     for j, t in enumerate(texts):
@@ -157,6 +161,7 @@ def train_dictionary(documents: DataFrame, tokenizer: str, docs: int = SAMPLE_DO
                 found = zstandard.train_dictionary(size, [a for a in arrays if a]).as_bytes()
             except zstandard.ZstdError:
                 found = b""
+        _segments(tokenizer).forget()
         yield pa.RecordBatch.from_pydict({"dictionary": [found]}, pa.schema([("dictionary", pa.binary())]))
 
     rows = sample.coalesce(1).mapInArrow(train, "dictionary binary").collect()
@@ -179,6 +184,7 @@ def encode(documents: DataFrame, tokenizer: str, dictionary: bytes, end_id: int
                     "doc_id": batch.column("doc_id").slice(i, j - i), "n": [len(x) // 4 for x in raw],
                     "frame": [tool.compress(x) for x in raw],
                 }, pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("frame", pa.binary())]))
+        segments.forget()
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(compress, "doc_id long, n long, frame binary")
