@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lernspur.runtime import materialize, rows_of
+from lernspur.runtime import forget, materialize, rows_of
 
 from .text import column_bytes, shingle_sets, word_hashes
 
@@ -185,6 +185,7 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
                 pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary())]))
 
     stored = materialize(rows.mapInArrow(prefixes, "doc_id long, node long, n long, prefix binary"))
+    hot.destroy()
 
     def prefix_columns(batch):
         # Copies within a batch are one set.
@@ -225,8 +226,10 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    entries = kept.mapInArrow(packed, "col long, node long, n long, pos int, most long, long boolean")
-    return stored.select("doc_id", "node", "n"), materialize(entries)
+    entries = materialize(kept.mapInArrow(packed, "col long, node long, n long, pos int, most long, long boolean"))
+    seen.destroy()
+    crowded.destroy()
+    return stored.select("doc_id", "node", "n"), entries
 
 
 # ---------------------------------------------------------------- products
@@ -320,7 +323,9 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
             [batch.column("x"), batch.column("y"), *(pa.array(v, pa.int64()) for v in counts.values()),
              pa.array(own, pa.list_(pa.int64()))], names=["x", "y", "shared", "nx", "ny", "own"])
 
-    return materialize(both.mapInArrow(overlaps, _TESTED))
+    out = materialize(both.mapInArrow(overlaps, _TESTED))
+    wanted.destroy()
+    return out
 
 
 _TESTED = "x long, y long, shared long, nx long, ny long, own array<bigint>"
@@ -377,10 +382,8 @@ def _can_link(n, most, other_n, other_most, share):
     return (p + q) * F.least(most, other_most) >= p * (n + other_n)
 
 
-def _untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
-    if not tested:
-        return pairs
-    return pairs.join(reduce(DataFrame.union, tested).distinct(), ["x", "y"], "left_anti")
+def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    return pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti")
 
 
 def _with_pivot(rows: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -467,7 +470,7 @@ def _led_long(own: DataFrame, first: Column, share) -> DataFrame:
 
 def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SHARE) -> DataFrame | None:
     """(node, comp) of all rows with verified links, stored; None if there are none."""
-    tested: list[DataFrame] = []  # pairs in both directions
+    tested = None  # one table of the pairs so far, in both directions
     pivots = None
     comps, turn = None, 0
     live = entries
@@ -512,7 +515,11 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
                 F.col("x").alias("node"), F.col("nx").alias("n"), F.col("y").alias("pivot"),
                 F.col("shared").alias("held"), "own")
         fresh_pairs, fresh_links = done.agg(F.count(F.lit(1)), F.count_if(_is_link(share))).first()
-        tested += [fresh, fresh.select("y", "x").toDF("x", "y")]
+        if not last:
+            both = [fresh, fresh.select("y", "x").toDF("x", "y"), *([] if tested is None else [tested])]
+            before, tested = tested, materialize(reduce(DataFrame.union, both).distinct())
+            if before is not None:
+                forget(before)
         if fresh_links:
             # The components so far are stars; with the new links they are contracted again.
             stars = [] if comps is None else [comps.where("node <> comp").toDF("x", "y")]
