@@ -182,14 +182,14 @@ def merged(keys: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndar
 
 
 def _packed(low: np.ndarray) -> bytes:
-    """Numbers of LOW_BITS bits, three bytes each."""
-    return low.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    """Ascending numbers as their gaps, in two bytes each where these are enough, else in four."""
+    gaps = np.diff(low, prepend=low.dtype.type(0))
+    kind = "<u2" if gaps.max(initial=0) < 1 << 16 else "<u4"
+    return kind[-1].encode() + gaps.astype(kind).tobytes()
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 3, 4), np.uint8)
-    out[:, :3] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
-    return out.view("<u4").ravel()
+    return np.cumsum(np.frombuffer(raw, f"<u{raw[:1].decode()}", offset=1), dtype=np.uint32)
 
 
 _SUMMARY = "block long, once binary, more binary, n binary"
@@ -198,7 +198,7 @@ _SUMMARY = "block long, once binary, more binary, n binary"
 def _summary_rows(hashes: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """Sorted counters as a row for each hash partition; counters of one stand without their count."""
     block = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-    low = (hashes >> np.uint64(64 - LOW_BITS - bits) & np.uint64((1 << LOW_BITS) - 1)).astype("<u4")
+    low = (hashes >> np.uint64(64 - LOW_BITS - bits) & np.uint64((1 << LOW_BITS) - 1)).astype(np.uint32)
     starts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1))
     out = {"block": block[starts], "once": [], "more": [], "n": []}
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(block)]):
@@ -237,13 +237,12 @@ def _survivors(summaries: DataFrame, bits: int, size: int, threshold: int) -> np
     stretch = 1 << (size - bits)
 
     def merge(table):
-        once, more = table.column("once"), table.column("more")
+        once = [_unpacked(x) for x in table.column("once").to_pylist()]
+        more = [_unpacked(x) for x in table.column("more").to_pylist()]
         n = [np.frombuffer(x, "<u4") for x in table.column("n").to_pylist()]
-        mass = pc.sum(pc.binary_length(once)).as_py() // 3 + sum(int(x.sum(dtype=np.int64)) for x in n)
-        capacity = mass // threshold
+        capacity = (sum(map(len, once)) + sum(int(x.sum(dtype=np.int64)) for x in n)) // threshold
         keys, counts, held, taken = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0, 0
         for own, several, times in zip(once, more, n):
-            own, several = _unpacked(own.as_py()), _unpacked(several.as_py())
             keys += [own, several]
             counts += [np.ones(len(own), np.int64), times]
             held += len(own) + len(several)

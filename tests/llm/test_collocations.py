@@ -142,3 +142,8 @@ def test_summaries_lose_nothing_frequent(seed):
     for key, times in zip(*np.unique(stream, return_counts=True)):
         assert held.get(int(key), 0) <= times <= held.get(int(key), 0) + lost
         assert times < threshold or int(key) in held
+
+
+@pytest.mark.parametrize("numbers", [[], [0], [5], [0, 0, 65535, 131070], [1, 70_000, (1 << 24) - 1]])
+def test_packed_numbers(numbers):
+    assert collocations._unpacked(collocations._packed(np.array(numbers, np.uint32))).tolist() == numbers
