@@ -34,6 +34,6 @@ def check_tasks(events: DataFrame, tasks: DataFrame) -> None:
 
 
 def task_bounds(events: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Start and goal state of every task in use."""
-    return join_lookup(task_numbers(events), tasks, ["taskNumber"]).select(
+    """Start and goal state of every task in use; null where ``tasks`` has no row for it."""
+    return join_lookup(task_numbers(events), tasks, ["taskNumber"], "left").select(
         "taskNumber", "startState", "goalState")

@@ -30,13 +30,22 @@ def check_formats(formats) -> tuple[str, ...]:
 
 def write_table(df: DataFrame, name: str, folder: str, formats, database: str | None = None,
                 mode: str = "overwrite") -> None:
-    """Write one result in each format: ``<folder>/<name>`` files, or a catalog table."""
+    """Write one result in each format: ``<folder>/<name>`` files, or a catalog table.
+
+    For several formats the result is worked out once, stored in its order and written from there.
+    """
+    formats = check_formats(formats)
     order = SORTED_BY.get(name)
     if order:
         df = df.orderBy(*order)
-    for fmt in check_formats(formats):
+    if len(formats) > 1:
+        df = materialize(df)
+        # Reading packs files as it likes; few rows are put in order again, from what is stored.
+        df = df.orderBy(*order) if order else df
+    for fmt in formats:
         if fmt == "csv":
-            df.write.mode(mode).option("header", True).csv(f"{folder}/{name}.csv")
+            maps = {c: F.to_json(c) for c, kind in df.dtypes if kind.startswith("map")}
+            df.withColumns(maps).write.mode(mode).option("header", True).csv(f"{folder}/{name}.csv")
         elif fmt == "parquet":
             df.write.mode(mode).parquet(f"{folder}/{name}.parquet")
         else:
@@ -57,7 +66,7 @@ def write_by_task(events: DataFrame, folder: str, rows_per_file: int = 5_000_000
         "_writer", F.pmod(F.xxhash64("studentSessionId", "seq"), F.col("_writers")))
     (spread.repartition("_key", "_writer")
      .sortWithinPartitions("taskNumber", "studentSessionId", "timestamp", "seq").drop("_key", "_writers", "_writer")
-     .write.mode("overwrite").partitionBy("taskNumber").parquet(folder))
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("taskNumber").parquet(folder))
 
 
 def read_by_task(spark: SparkSession, folder: str, number: int) -> DataFrame:

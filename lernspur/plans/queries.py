@@ -206,6 +206,11 @@ def optimal_paths(spark, folder):
         "taskNumber", F.concat_ws(" > ", "path").alias("path"))
 
 
+def optimal_path_counts(spark, folder):
+    g = _graphs(spark, folder)
+    return gr.optimal_path_counts(g.best_edges, g.tasks)
+
+
 def best_path_edges(spark, folder):
     return _graphs(spark, folder).best_edges.select("taskNumber", *EDGE)
 
@@ -288,7 +293,7 @@ QUERIES = {
         state_dictionary, canonical_states, union_studies, attempt_level, attempt_numbers,
         replay_flag, student_problem, student_level, problem_level, assignment_level, path_events,
         attempt_paths, transition_edges, student_edges, retract_edges, optimal_length,
-        optimal_paths, best_path_edges, best_path_nodes, dead_end_nodes, student_dead_ends,
+        optimal_paths, optimal_path_counts, best_path_edges, best_path_nodes, dead_end_nodes, student_dead_ends,
         graph_links, graph_nodes, graph_export, task_bounds, task_metadata, task_meta_violations,
     )
 }

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Settings read from the session, with their defaults.
 HOT_ROWS = ("spark.lernspur.hotGroupRows", 2_000_000)
 BROADCAST_ROWS = ("spark.lernspur.broadcastRows", 500_000)
+BROADCAST_BYTES = ("spark.lernspur.broadcastBytes", 128 << 20)
 FOLD_EVENTS = ("spark.lernspur.foldEvents", 1_000)
 HOP_ROUNDS = ("spark.lernspur.hopRounds", 24)
 
@@ -84,6 +85,21 @@ def rows_of(stored: DataFrame) -> int:
     return known
 
 
+def stored_bytes(stored: DataFrame) -> int:
+    """Size of a table made by :func:`materialize`, as its files say."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.__dict__["_lernspur_path"])
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def may_broadcast(df: DataFrame, rows: int) -> bool:
+    """Whether ``rows`` rows of ``df`` may be sent to all executors: few enough, and where they are stored, small enough."""
+    spark = df.sparkSession
+    if rows > setting(spark, BROADCAST_ROWS):
+        return False
+    return "_lernspur_path" not in df.__dict__ or stored_bytes(df) <= setting(spark, BROADCAST_BYTES)
+
+
 @dataclass(frozen=True)
 class GroupSizes:
     """``limit`` rows make a group hot; ``hot`` holds the hot keys and their row counts ``n``."""
@@ -106,7 +122,7 @@ def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
 
 def small_broadcast(stored: DataFrame) -> DataFrame:
     """``stored`` with a broadcast hint where its counted rows allow it, else as it is, for a shuffle join."""
-    return F.broadcast(stored) if rows_of(stored) <= setting(stored.sparkSession, BROADCAST_ROWS) else stored
+    return F.broadcast(stored) if may_broadcast(stored, rows_of(stored)) else stored
 
 
 def same_hot_key(keys: list[str]):
@@ -126,13 +142,13 @@ def join_lookup(
     """
     if rows is None:
         rows = rows_of(small)
-    if rows <= setting(big.sparkSession, BROADCAST_ROWS):
+    if may_broadcast(small, rows):
         return big.join(F.broadcast(small), keys, how)
     sizes = group_sizes(big, keys)
     if sizes.hot is None:
         return big.join(small, keys, how)
     marks = sizes.hot.select(*[f"_hot_{k}" for k in keys], F.ceil(F.col("n") / sizes.limit).alias("_salts"))
-    if rows_of(sizes.hot) <= setting(big.sparkSession, BROADCAST_ROWS):
+    if may_broadcast(sizes.hot, rows_of(sizes.hot)):
         marks = F.broadcast(marks)
 
     def marked(df):

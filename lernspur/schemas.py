@@ -2,21 +2,15 @@
 
 from pyspark.sql import types as T
 
-# --- fixed values: words of the event log and of the output tables -----------------
-EVENT_TYPES = (
-    "mathStep", "mathMistake", "solvedTask", "visitTask", "resetTask",
-    "showHint", "visitGameScreen", "hideHint", "undo", "redo",
-)
+# --- fixed values: words and column names of the event log and of the output tables ---
 ACTION_EVENTS = ("mathStep", "mathMistake", "hideHint", "showHint")
 STATE_EVENTS = ("mathStep", "undo", "redo", "mathMistake")
 NO_PATH_EVENTS = ("visitTask", "visitGameScreen", "showHint", "hideHint", "mathMistake")
 NO_PATH_RESET_REASONS = ("retryButton", "autoReset")
-MISTAKES = ("keypad", "tap", "drag")
 MISSING_NODE = "missing_node"
 MISSING_ACTION = "missing_action"
 MISSING_WEIGHT = 10000
 STEP_WEIGHT = 1
-CLASSES = ("optimal", "dead_end", "sub_optimal", "incomplete")
 LONGEST_GAP_SECONDS = 300
 BUNDLE_FILES = {
     "roster": "roster-metadata.json",
@@ -26,7 +20,6 @@ BUNDLE_FILES = {
     "attempt_data": "attempt-data.ndjson",
 }
 STUDY_INFO_FILE = "study_info.txt"
-# -----------------------------------------------------------------------------------
 
 STUDENT = "studentSessionId"
 K2 = [STUDENT, "taskNumber"]
@@ -67,3 +60,4 @@ TASK_SCHEMA = T.StructType(
 TASK_SESSION_COLUMNS = (
     "sessionCode", "taskId", "chapterId", "sessionId", "sessionCreatedAt", "hintDelta",
 )
+# -----------------------------------------------------------------------------------

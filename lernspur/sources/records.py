@@ -40,7 +40,7 @@ def record_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _number(text: Column, kind: T.DataType) -> tuple[Column, Column]:
     """(value, reason): numbers are read wide; those of whole columns may be written ``3``, ``3.0`` or ``"3"``."""
-    wide = text.try_cast("double")
+    wide = F.btrim(text, F.lit('"')).try_cast("double")  # NaN comes in quotes
     missing = text.isNull() | F.isnan(wide)
     if isinstance(kind, T.DoubleType):
         return F.when(~missing, wide), F.when(~missing & wide.isNull(), "not a number")

@@ -443,6 +443,9 @@ WHERE attempt_count > n AND NOT EXISTS (SELECT 1 FROM lowered g WHERE g.attempt_
         "optimal_length": query(
             "SELECT CAST(taskNumber AS INTEGER) AS taskNumber, w AS optimal_weight, h AS optimal_length, w IS NOT NULL AS problem_solved "
             "FROM tasks6 LEFT JOIN best USING (taskNumber)", "tasks6", "best"),
+        "optimal_path_counts": query(
+            "SELECT taskNumber, CAST(count(*) AS DECIMAL(38, 0)) AS num_paths FROM best_walks WHERE path[-1] = 'G' GROUP BY ALL",
+            "best_walks"),
         "optimal_paths": query(
             "SELECT taskNumber, array_to_string(path, ' > ') AS path FROM best_walks WHERE path[-1] = 'G'",
             "best_walks"),

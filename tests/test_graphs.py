@@ -95,6 +95,17 @@ def test_long_chains_take_few_rounds(spark, monkeypatch):
     assert len(rounds) < 40
 
 
+def test_paths_are_counted_where_they_meet(spark):
+    """Each of eight forks doubles the number of solutions."""
+    walks = []
+    for side in "xy":
+        walks.append((1, ["S", *[n for i in range(8) for n in (f"{side}{i}", f"m{i}")], "G"]))
+    walks += [(2, ["S", "a"]), (3, ["S", "G"])]
+    g = graphs(spark, walks)
+    assert {r.taskNumber: int(r.num_paths) for r in gr.optimal_path_counts(g.best_edges, g.tasks).collect()} == {1: 256, 3: 1}
+    assert gr.optimal_paths(g.best_edges, g.tasks).count() == 257
+
+
 def test_start_is_goal(spark):
     check(spark, [(1, ["S", "a", "S"]), (1, ["S", "b"]), (1, ["S", "b", "c"])], ends=("S", "S"))
 
