@@ -299,7 +299,7 @@ class _Counter:
                 self.held[m] = [(keys, n)]
 
     def rows(self, names: list[str]):
-        """All counts as (lang, words, phrase, f), and empties the counter."""
+        """All counts as (gram, f), and empties the counter."""
         self.combine()
         words, langs = pa.array(self.words, pa.string()), np.array(self.langs, np.int64)
         for m, own in self.held.items():
@@ -309,21 +309,23 @@ class _Counter:
                     parts = [key >> ((m - 1 - k) * self.bits) & ((1 << self.bits) - 1) for k in range(m)]
                     columns = [words.take(pa.array(p)) for p in parts]
                     phrase = columns[0] if m == 1 else pc.binary_join_element_wise(*columns, " ")
+                    lang = pa.array(names).take(pa.array(langs[parts[0]]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names).take(pa.array(langs[parts[0]])), pa.array(np.full(len(key), m, np.int32)),
-                         phrase, pa.array(n[a:a + 100_000])], names=["lang", "words", "phrase", "f"])
+                        [pc.binary_join_element_wise(phrase, lang, "\t"), pa.array(n[a:a + 100_000])], names=["gram", "f"])
         self.__init__(len(self.held), self.bits)
 
 
 def _exact(rows: DataFrame, bitmap, size: int, most_words: int) -> DataFrame:
-    """(lang, words, phrase, f) of a task's n-grams in the bitmap of ``size`` hash bits; words 0 has the number of all words."""
+    """(gram, f) of a task's n-grams in the bitmap of ``size`` hash bits; the empty one has the number of all words.
+
+    ``gram`` is the phrase, which has no tab, a tab, and the language.
+    """
     def count(batches):
         names: dict[str, int] = {}
         counter = _Counter(most_words, ID_BITS)
         for now in _chunks(batches, names, most_words):
             total = np.bincount(now.joined()[3][now.context:], minlength=len(names))
-            yield pa.RecordBatch.from_pydict({
-                "lang": list(names), "words": np.zeros(len(names), np.int32), "phrase": [""] * len(names), "f": total})
+            yield pa.RecordBatch.from_pydict({"gram": [f"\t{x}" for x in names], "f": total})
             coded = _Coded(now, names)
             if len(counter.words) + len(coded.words) > 1 << ID_BITS:
                 yield from counter.rows(list(names))
@@ -342,7 +344,7 @@ def _exact(rows: DataFrame, bitmap, size: int, most_words: int) -> DataFrame:
                     yield from counter.rows(list(names))
         yield from counter.rows(list(names))
 
-    return rows.mapInArrow(count, "lang string, words int, phrase string, f long")
+    return rows.mapInArrow(count, "gram string, f long")
 
 
 def frequent_ngrams(documents: DataFrame, most_words: int = MAX_WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -359,8 +361,11 @@ def frequent_ngrams(documents: DataFrame, most_words: int = MAX_WORDS, threshold
     found = rows.sparkSession.sparkContext.broadcast(
         _survivors(_summaries(rows, bits, most_words), bits, size, threshold))
     # Counted by task already, so rows are dealt out as they are and summed up there.
-    counted = _exact(rows, found, size, most_words).repartition("lang", "words", "phrase").groupBy(
-        "lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    counted = _exact(rows, found, size, most_words).repartition("gram").groupBy("gram").agg(F.sum("f").alias("f"))
+    phrase = F.substring_index("gram", "\t", 1)
+    counted = counted.select(
+        F.expr("substring(gram, length(substring_index(gram, '\t', 1)) + 2)").alias("lang"),
+        F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " "))).cast("int").alias("words"), phrase.alias("phrase"), "f")
     out = materialize(counted.where((F.col("words") == 0) | (F.col("f") >= threshold)))
     found.destroy()
     return out
@@ -369,7 +374,7 @@ def frequent_ngrams(documents: DataFrame, most_words: int = MAX_WORDS, threshold
 # ---------------------------------------------------------------- scores
 
 def _part(first: int, count: int) -> Column:
-    return F.array_join(F.slice("_w", first, count), " ")
+    return F.array_join(F.slice(F.split("phrase", " "), first, count), " ")
 
 
 def _scored(counted: DataFrame, words: int, parts: dict[int, DataFrame]) -> DataFrame:
@@ -378,7 +383,7 @@ def _scored(counted: DataFrame, words: int, parts: dict[int, DataFrame]) -> Data
     ``parts`` has the stored n-grams (lang, _p, f) of each number of words below.
     """
     now = counted.where(F.col("words") == words).select(
-        "lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("_w"))
+        "lang", "phrase", F.col("f").alias("a"))
     for count in range(1, words):
         for side, first in (("l", 1), ("r", words - count + 1)):
             k = count if side == "l" else words - count
