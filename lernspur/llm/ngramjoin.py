@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lernspur.runtime import forget, materialize, rows_of
 
-from .text import column_bytes, shingle_sets, word_hashes
+from .text import column_bytes, release, shingle_sets, word_hashes
 
 WIDTH = 5
 SHARE = (80, 100)
@@ -148,6 +148,8 @@ def _counted(batches, columns_of, bits, flush=4_000_000):
                 held, size = [], 0
     if size:
         yield _block_rows(held, bits)
+    held = None
+    release()
 
 
 # ---------------------------------------------------------------- rows of the matrix
@@ -287,6 +289,8 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
             yield out(nodes, packed)
             if len(done) > 1_000_000:
                 done = set()
+        done = None
+        release()
 
     found = documents.select("text").mapInArrow(sets, "node long, set binary")
     found = found.join(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct(), "node", "left_semi")

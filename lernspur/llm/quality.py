@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from lernspur.runtime import materialize
 
 from .lattice import distinct_words, word_runs
-from .text import SLICE, hash_runs, mix
+from .text import SLICE, hash_runs, mix, release
 
 BUCKETS = 1 << 14
 TARGET_DOCS = 5_000
@@ -81,6 +81,7 @@ def _counts(texts: DataFrame) -> np.ndarray:
             for _, _, buckets, _ in _buckets(batch.column(0)):
                 total += np.bincount(buckets, minlength=BUCKETS)
         seen = np.flatnonzero(total)
+        release()
         yield pa.RecordBatch.from_pydict({"bucket": seen, "n": total[seen]})
 
     out = np.zeros(BUCKETS)

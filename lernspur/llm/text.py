@@ -6,6 +6,9 @@ about a megabyte, so memory follows the words of one batch and not the length of
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 
@@ -32,6 +35,15 @@ _UP = _powers(_STEP, SLICE)
 _DOWN = _powers(pow(_STEP, -1, 1 << 64), SLICE)
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task: Python workers outlive tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one scramble of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

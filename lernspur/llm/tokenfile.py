@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from lernspur.runtime import materialize
 
 from .ordering import default_parts, order_key, range_bounds, range_number
+from .text import release
 
 END_ID = 2
 DICT_BYTES = 64 << 10
@@ -55,7 +56,7 @@ def _lines(text: str) -> list[str] | None:
 
 
 class _Segments:
-    """Ids of text segments, remembered up to a fixed number and until :meth:`forget`."""
+    """Ids of text segments, remembered up to a fixed number."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -83,10 +84,6 @@ class _Segments:
         known.update((w, known[w[:-1]] + marks[w[-1]]) for w in ends)
         return [*cores, *ends]
 
-    def forget(self) -> None:
-        """Let go of all segments, as a task does at its end: worker processes outlive tasks."""
-        self.first, self.after = {}, {}
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32, without an end id."""
         gc.disable()  # millions of strings, no cycles
@@ -127,6 +124,12 @@ def _segments(path: str) -> _Segments:
     return _tokenizers[path]
 
 
+def _forget(path: str) -> None:
+    """Let go of a tokenizer and its segments, as a task does at its end."""
+    _tokenizers.pop(path, None)
+    release()
+
+
 def _groups(texts: list[str], size: int = 1 << 20):
     """Runs of texts of about ``size`` characters."""
     i, held = 0, 0
@@ -161,7 +164,7 @@ def train_dictionary(documents: DataFrame, tokenizer: str, docs: int = SAMPLE_DO
                 found = zstandard.train_dictionary(size, [a for a in arrays if a]).as_bytes()
             except zstandard.ZstdError:
                 found = b""
-        _segments(tokenizer).forget()
+        _forget(tokenizer)
         yield pa.RecordBatch.from_pydict({"dictionary": [found]}, pa.schema([("dictionary", pa.binary())]))
 
     rows = sample.coalesce(1).mapInArrow(train, "dictionary binary").collect()
@@ -184,7 +187,7 @@ def encode(documents: DataFrame, tokenizer: str, dictionary: bytes, end_id: int
                     "doc_id": batch.column("doc_id").slice(i, j - i), "n": [len(x) // 4 for x in raw],
                     "frame": [tool.compress(x) for x in raw],
                 }, pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("frame", pa.binary())]))
-        segments.forget()
+        _forget(tokenizer)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(compress, "doc_id long, n long, frame binary")
