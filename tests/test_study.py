@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows
 from lernspur import (
-    aggregate_events, problem_graphs,
+    aggregate_events, event_lanes, problem_graphs,
     bundle_manifest, key_inventory, read_by_task, read_events, read_roster, read_study, read_tasks,
     run_study, task_metadata, union_studies, write_by_task,
 )
 from lernspur.functions import states as st
 from lernspur.functions import times as tm
 from lernspur.operators import quality
-from lernspur.plans.outputs import check_formats, study_info_lines
+from lernspur.plans.outputs import SORTED_BY, check_formats, study_info_lines
 from lernspur.plans.queries import QUERIES
 from lernspur.runtime import table_root
 from lernspur.schemas import BUNDLE_FILES
@@ -101,6 +101,21 @@ def test_study_results(spark, result, data):
     assert spark.table("results.event_logs").count() == 1000
 
 
+def test_written_order(spark, result):
+    """Rows of each table stand in its order, in the files as they are read one after another."""
+    (_, folder), _ = result
+    for table, keys in SORTED_BY.items():
+        lines = spark.read.option("header", True).csv(f"{folder}/{table}.csv").select(*keys).collect()
+        got = [tuple(int(x) if k == "taskNumber" else x for k, x in zip(keys, r)) for r in lines]
+        assert got and got == sorted(got), table
+
+
+def test_events_without_a_task_are_left_out(spark):
+    events = event_types(spark.createDataFrame(
+        [(1, "s", 1), (None, "s", 2), (None, None, 3), (2, None, 4)], "taskNumber int, studentSessionId string, seq long"))
+    assert sorted(r.seq for r in event_lanes(events).merge().collect()) == [1, 4]
+
+
 def test_study_info(spark, result):
     (_, folder), _ = result
     lines = [r.value for r in spark.read.text(f"{folder}/study_info.txt").collect()]
@@ -249,11 +264,13 @@ def test_tables_go_to_the_shared_folder(spark):
     assert table_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_converted_study(spark, bundle, tmp_path):
-    """With converted event states the task states stay as they are in the metadata."""
+def test_converted_study(spark, bundle, tmp_path, caplog):
+    """With converted event states the task states stay as they are in the metadata; totals are logged."""
+    caplog.set_level("INFO", "lernspur")
     (tmp_path / "study-7").mkdir()
     _, folder = run_study(spark, str(bundle / "study_a"), str(tmp_path), "parquet", convert_states=True,
                           extra_columns=False, overwrite=True)
+    assert [r.getMessage() for r in caplog.records if r.name.startswith("lernspur")][:2] == ["students in roster: 2", "tasks: 6"]
     events = spark.read.parquet(f"{folder}/event_logs.parquet")
     assert {"oldState_latex", "newState_latex"} <= set(events.columns) and "zoom" not in events.columns
     assert spark.read.parquet(f"{folder}/task_metadata.parquet").columns == ["taskNumber", "startState", "goalState"]
