@@ -138,10 +138,10 @@ class Trie:
                         yield d, n, found, up[found], which
 
 
-def word_runs(column, lower: bool):
-    """Slices of a text column as (first text, last + 1, bytes, starts, ends, text of each word)."""
+def word_runs(column, lower: bool, size: int = 4 * SLICE):
+    """Slices of about ``size`` bytes of a text column as (first text, last + 1, bytes, starts, ends, text of each word)."""
     data, offsets, _ = column_bytes(column)
-    for i, j in spans_of(offsets, 4 * SLICE):
+    for i, j in spans_of(offsets, size):
         part = data[offsets[i]:offsets[j]]
         part = _LOWER[part] if lower else part
         solid = ~_SPACE[part]

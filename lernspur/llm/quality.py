@@ -33,7 +33,7 @@ _UPPER[65:91] = _LOW[97:123] = _DIGIT[48:58] = 1
 
 def features(column):
     """Buckets of all n-grams of a text column, with the text of each, a slice of texts at a time."""
-    for i, j, data, starts, ends, of in word_runs(column, lower=False):
+    for i, j, data, starts, ends, of in word_runs(column, lower=False, size=SLICE):
         if not len(starts):
             continue
         _, kind, _ = distinct_words(data, starts, ends)
