@@ -65,7 +65,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Tokens and models are beyond SQL; tests compare each stage with a brute-force version.
+# Tokens and models are beyond SQL. Tests hold what each stage keeps against its operator's own report, and the operators
+# against brute force.
 ORACLE_SQL = None
 
 QUERIES = {"pipeline": run}
