@@ -155,3 +155,24 @@ def test_appending_a_chunk_again_changes_nothing(spark, tmp_path):
     outputs.append_chunk(first.limit(2), "chunks_of_a_test", "a'1")
     assert spark.table("chunks_of_a_test").count() == 6
     spark.sql("DROP TABLE chunks_of_a_test")
+
+
+def test_reading_is_planned_once(spark):
+    """What reads a record stands in the plan once, also below a filter on the problems it found."""
+    lines = spark.createDataFrame([(k, f'{{"timestamp": "{k}", "stars": {k}}}') for k in range(3)], "seq long, value string")
+    spoiled = lines.select("seq", F.when(F.col("seq") == 1, F.concat("value", "value")).otherwise(F.col("value")).alias("value"))
+    found = records.problem_rows(records.parse_records(spoiled))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("yyyyMMddHHmmss") == 1
+    assert plan.count("from_json") <= 2
+    assert [r.seq for r in found.collect()] == [1]
+
+
+def test_numbers_skip_formats_of_other_lengths(spark):
+    """Microseconds are no text of any format, so none is tried; fourteen digits are."""
+    texts = ["1704067200123456", "20240102030405", "1704067200123456789", "1704067200"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(F.unix_micros(tm.parse_timestamp(F.col("t")))).collect()
+    assert [r[0] for r in got] == [1704067200123456, 1704164645000000, 1704067200123456, 1704067200000000]
+    plain = spark.createDataFrame([("12345678",)], "t string").select(
+        F.unix_micros(tm.parse_timestamp(F.col("t"), ("yyyyMMdd",))).alias("us"))
+    assert plain.first().us == 12345678 * 1_000_000  # December of month 56: no date, so a number
