@@ -25,6 +25,9 @@ DENSE, SCALES, PER_SCALE = 8, 24, 6
 DENSE_MOD, SPARSE_MOD = 1 << 32, 1 << 12
 SPARSE = SCALES * PER_SCALE
 _PER_HASH, _SHARED = 3, 48  # of the first sparse lanes, three are served by one 64-bit hash: 8 bits to choose, 12 to add
+_GUARD = _SHARED // PER_SCALE  # bits that must be zero before a rarer lane is looked at: those of the scale before
+
+OWN, EDITED, HEAD = range(3)  # pieces of a document: the rest of its text, of its edited text, and the lines before both
 
 
 def lane_names() -> list[str]:
@@ -32,17 +35,28 @@ def lane_names() -> list[str]:
 
 
 def paragraph_vector(text: Column) -> list[Column]:
-    """The vector of one paragraph, in the order of :func:`lane_names`."""
+    """The vector of one paragraph, in the order of :func:`lane_names`.
+
+    The rarer lanes have a hash of their own, which few paragraphs ask for: those whose guard is zero. The lanes of a
+    scale have a guard each, so they are as independent of each other as without it.
+    """
     ids = [F.xxhash64(F.lit("paragraph"), text), F.xxhash64(text, F.lit("text"))]
-    dense = [F.xxhash64(F.lit(i), *ids).bitwiseAND(F.lit(DENSE_MOD - 1)) for i in range(DENSE)]
+    dense = [F.shiftrightunsigned(F.xxhash64(F.lit(i // 2), *ids), 32 * (i % 2)).bitwiseAND(F.lit(DENSE_MOD - 1))
+             for i in range(DENSE)]
+    guards = F.xxhash64(F.lit(-1), *ids)
     sparse = []
     for i in range(SPARSE):
-        # The rarer lanes have a hash of their own: up to 24 bits to choose, 12 to add.
-        seed, shift, wide = (i // _PER_HASH, 20 * (i % _PER_HASH), 8) if i < _SHARED else (i, 0, SCALES)
-        bits, choose = F.xxhash64(F.lit(DENSE + seed), *ids), (1 << (i // PER_SCALE + 1)) - 1
+        scale, shared = i // PER_SCALE + 1, i < _SHARED
+        seed, shift = (i // _PER_HASH, 20 * (i % _PER_HASH)) if shared else (i, 0)
+        bits, wide = F.xxhash64(F.lit(DENSE + seed), *ids), _GUARD if shared else SCALES - _GUARD
+        choose = (1 << (scale if shared else scale - _GUARD)) - 1
         chosen = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(choose)) == 0
         value = F.shiftrightunsigned(bits, shift + wide).bitwiseAND(F.lit(SPARSE_MOD - 1))
-        sparse.append(F.when(chosen, value).otherwise(F.lit(0)))
+        lane = F.when(chosen, value).otherwise(F.lit(0))
+        if not shared:
+            guard = F.shiftrightunsigned(guards, _GUARD * (i % PER_SCALE)).bitwiseAND(F.lit((1 << _GUARD) - 1))
+            lane = F.when(guard == 0, lane).otherwise(F.lit(0))
+        sparse.append(lane)
     return [*dense, *sparse, F.lit(1)]
 
 
@@ -161,18 +175,29 @@ def edited_fingerprints(documents: DataFrame, parts: int | None = None) -> DataF
             F.substring(F.coalesce("_next", F.lit("")), F.lit(1), half))))
         .withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256))
     )
-    both = rows.select("_part", "_row", "_guest", "doc_id", "n_chars", "edited_sha256", F.explode(F.when(
-        F.col("_guest"), F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("body"))),
-    ).otherwise(F.array(
-        F.struct(F.lit(0).alias("which"), F.col("text").alias("body")),
-        F.struct(F.lit(1).alias("which"), F.col("_edited").alias("body")),
-    ))).alias("_v"))
+    # The whole lines at the head of both texts are hashed once, and their vector is added to those of the two rests.
+    kept = F.expr("substring(text, 1, CAST(n_chars AS INT) - CAST(floor(n_chars / 2) AS INT))")
+    head = F.when(F.col("_guest"), F.lit(0)).otherwise(F.length(kept) - F.length(F.substring_index(kept, "\n", -1)))
+    rows = rows.withColumn("_head", head)
+
+    def body(which, text):
+        return F.struct(F.lit(which).alias("which"), text.alias("body"))
+
+    def rest(name):
+        return F.substring(F.col(name), F.col("_head") + 1, F.length(name))
+
+    bodies = F.array(body(OWN, rest("text")), F.when(~F.col("_guest"), body(EDITED, rest("_edited"))),
+                     F.when(F.col("_head") > 0, body(HEAD, F.substring("text", F.lit(1), F.col("_head") - 1))))
     by = ["_part", "_row", "_guest", "doc_id", "n_chars", "edited_sha256", "_which"]
-    marks = fingerprints(both.select(*by[:-1], F.col("_v.which").alias("_which"), F.col("_v.body").alias("_body")),
+    parts_of = rows.select(*by[:-1], F.explode(F.array_compact(bodies)).alias("_v"))
+    marks = fingerprints(parts_of.select(*by[:-1], F.col("_v.which").alias("_which"), F.col("_v.body").alias("_body")),
                          "_body", by)
-    pairs = marks.groupBy(*by[:-1]).agg(
-        F.max(F.when(F.col("_which") == 0, F.col("lanes"))).alias("own"),
-        F.max(F.when(F.col("_which") == 1, F.col("lanes"))).alias("edited"))
+    pairs = marks.groupBy(*by[:-1]).agg(*[
+        F.max(F.when(F.col("_which") == which, F.col("lanes"))).alias(name)
+        for which, name in ((OWN, "own"), (EDITED, "edited"), (HEAD, "_both"))])
+    pairs = pairs.withColumns({
+        name: F.when(F.col("_both").isNull(), F.col(name)).otherwise(combined(F.col(name), F.col("_both")))
+        for name in ("own", "edited")})
     following = pairs.withColumn("next", F.lead("own").over(Window.partitionBy("_part").orderBy("_row")))
     return following.where(~F.col("_guest")).select(
         "doc_id", "n_chars", "edited_sha256",

@@ -296,6 +296,21 @@ def test_fingerprints(corpus, odd):
         assert all(got[d].fingerprint == marks[tuple(sorted(t.split("\n")))] for d, t in rows)
 
 
+def test_lines_of_both_texts_are_hashed_once(spark, monkeypatch):
+    rows = [(k, "\n".join(f"{k} line {i:03}" for i in range(100))) for k in range(4)] + [(4, "\nab"), (5, "a\n\nbc\n")]
+    df, taken = spark.createDataFrame(rows, "doc_id long, text string"), []
+    plain = fingerprints.fingerprints
+    monkeypatch.setattr(fingerprints, "fingerprints", lambda d, text, by: taken.append((d, text)) or plain(d, text, by))
+    got = {r.doc_id: r for r in fingerprints.edited_fingerprints(df, parts=1).collect()}
+    pieces, name = taken[0]
+    assert pieces.where("NOT _guest").select(F.explode(F.split(name, "\n"))).count() < 4 * 155 + 20
+    texts = [(d, t[:len(t) - len(t) // 2] + after[:len(t) // 2]) for (d, t), (_, after) in zip(rows, rows[1:] + rows[:1])]
+    for column, of in (("fingerprint", rows), ("edited_fingerprint", texts)):
+        whole = plain(spark.createDataFrame(of, "k long, t string"), "t", ["k"])
+        for r in whole.select("k", fingerprints.as_text(F.col("lanes")).alias("mark")).collect():
+            assert got[r.k][column] == r.mark
+
+
 def test_fingerprint_arithmetic(spark):
     df = spark.createDataFrame([(1, "a\nb"), (2, "c"), (3, "b\na\nc"), (4, "a\nb")], "k long, t string")
     lanes = {r.k: r.lanes for r in fingerprints.fingerprints(df, "t", ["k"]).collect()}
