@@ -17,6 +17,8 @@ executors.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .ordering import LAST, default_parts, order_key, range_bounds, range_number
@@ -109,6 +111,13 @@ def _grid() -> list[tuple[float, float]]:
     return out
 
 
+def _guesses() -> list[float]:
+    """Paragraphs not shared, by the number of sparse lanes that differ: the nearest step of the grid."""
+    grid = _grid()
+    marks = [(x + y) / 2 for (x, _), (y, _) in zip(grid, grid[1:])]
+    return [grid[bisect_left(marks, n)][1] for n in range(SPARSE + 1)]
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share of common paragraphs, 2 |A n B| / (|A| + |B|), from two lane arrays.
 
@@ -117,10 +126,8 @@ def likeness(a: Column, b: Column) -> Column:
     """
     pairs = F.zip_with(a, b, lambda x, y: (x != y).cast("int"))
     differ = F.aggregate(F.slice(pairs, DENSE + 1, SPARSE), F.lit(0), lambda s, x: s + x)
-    grid = _grid()
-    marks = F.array(*[F.lit((x + y) / 2) for (x, _), (y, _) in zip(grid, grid[1:])])
-    steps = F.array(*[F.lit(d) for _, d in grid])
-    guess = F.element_at(steps, F.size(F.filter(marks, lambda m: m < differ)) + 1)
+    # One entry for each number of lanes that may differ: no lambda, in which the count would be made for every mark.
+    guess = F.element_at(F.array(*[F.lit(d) for d in _guesses()]), differ + 1)
     na, nb = F.element_at(a, -1), F.element_at(b, -1)
     apart = F.greatest(guess, F.abs(na - nb).cast("double"), F.lit(1.0))
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1 - apart / (na + nb)))

@@ -338,6 +338,16 @@ def test_likeness_of_any_size(spark):
     assert len(got) == len(exact) and np.mean([abs(r.near - exact[r.k]) for r in got]) < 0.2
 
 
+def test_lanes_are_compared_once(spark):
+    """The lanes of a pair are not compared again for every step of the estimate, as in a lambda over the steps."""
+    df = spark.createDataFrame([([0] * (fingerprints.DENSE + fingerprints.SPARSE) + [1],) * 2], "a array<bigint>, b array<bigint>")
+    plan = df.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("near"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("zip_with(") == 1 and "filter(" not in plan
+    grid = fingerprints._grid()
+    assert fingerprints._guesses() == [
+        grid[sum((x + y) / 2 < n for (x, _), (y, _) in zip(grid, grid[1:]))][1] for n in range(fingerprints.SPARSE + 1)]
+
+
 # ---- quality
 
 def test_quality(spark, data, corpus, odd, empty):
