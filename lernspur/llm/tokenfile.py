@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import os
 import re
 import zlib
 from array import array
@@ -39,7 +40,7 @@ SAMPLE_DOCS = 1_000
 SAMPLE_IDS = 4_096
 BLOCK_BYTES = 4 << 20
 LEVEL = 3
-CACHE_SEGMENTS = 200_000  # of each kind, in a task
+CACHE_SEGMENTS = 100_000  # of texts with uneven white space, and twice as many of the others, in a task
 
 # Between non-spaces, a space starts a pre-token and a line feed is one; text may be cut there.
 _CUT = re.compile(r"(?<=[^\s])(?= [^\s])|(?<=[^\s])(?=\n[^\s])|(?<=[^\s]\n)(?=[^\s])")
@@ -47,24 +48,31 @@ _CUT = re.compile(r"(?<=[^\s])(?= [^\s])|(?<=[^\s])(?=\n[^\s])|(?<=[^\s]\n)(?=[^
 _tokenizers: dict[str, tuple] = {}
 
 
-def _lines(text: str) -> list[str] | None:
-    """The lines of a text whose only white space is single spaces and line feeds between other characters."""
+def _even(text: str) -> bool:
+    """Whether the only white space of a text is single spaces and line feeds between other characters."""
     if text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
-        return None
-    lines = text.split("\n")
-    return lines if all(map(str.isprintable, lines)) else None  # other white space is not printable
+        return False
+    return text.replace("\n", "").isprintable()  # other white space is not printable
 
 
 class _Segments:
     """Ids of text segments, remembered up to a fixed number."""
 
     def __init__(self, path: str):
+        # A task has one core; a thread for each core of the machine in every worker takes time and memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}  # segments as they are
-        self.after: dict[str, bytes] = {}  # words that follow a space
-        self.line = self._ids(["\n"])[0]
+        size = self.tokenizer.get_vocab_size()
+        # Ids that begin with a space or hold a line feed; in an even text these stand where a segment does.
+        self.mark = {" ": np.zeros(size, bool), "\n": np.zeros(size, bool)}
+        for token, i in self.tokenizer.get_vocab().items():
+            self.mark[" "][i], self.mark["\n"][i] = token[0] == "\u0120", "\u010a" in token
+        self.known: dict[bytes, bytes] = {}  # segments of even texts, with the space or line feed before them
+        self.parts: dict[str, bytes] = {}  # segments of other texts
+        self.line, *stops = self._ids(["\n", ".", ","])
+        self.stops = dict(zip(".,", stops))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -73,48 +81,89 @@ class _Segments:
             out += [array("I", e.ids).tobytes() for e in done]
         return out
 
-    def _learn(self, known: dict[str, bytes], words: set[str], lead: str) -> list[str]:
-        """Add the ids of unknown words; returns these words."""
-        fresh = [w for w in words if w not in known]
-        # A full stop or comma after a letter is a pre-token of its own.
-        ends = {w for w in fresh if len(w) > 1 and w[-1] in ".," and w[-2].isalpha()}
-        cores = list({w[:-1] for w in ends if w[:-1] not in known} | {w for w in fresh if w not in ends})
-        known.update(zip(cores, self._ids([lead + w for w in cores])))
-        marks = dict(zip(".,", self._ids([".", ","])))
-        known.update((w, known[w[:-1]] + marks[w[-1]]) for w in ends)
-        return [*cores, *ends]
+    def _joined(self, segments: list[str], n: int = 50) -> list[bytes]:
+        """Ids of segments that each begin with the same space or line feed, ``n`` of them as one text."""
+        mark, out = self.mark[segments[0][0]] if segments else None, []
+        for i in range(0, len(segments), 400 * n):
+            some = segments[i:i + 400 * n]
+            for at, raw in zip(range(0, len(some), n), self._ids(["".join(some[k:k + n]) for k in range(0, len(some), n)])):
+                cuts = (4 * np.flatnonzero(mark[np.frombuffer(raw, "<u4")])).tolist()
+                own = some[at:at + n]
+                # Each begins with a mark and has no other; should that ever not hold, they are encoded one by one.
+                right = len(cuts) == len(own) and cuts[0] == 0
+                out += [raw[a:b] for a, b in zip(cuts, [*cuts[1:], len(raw)])] if right else self._ids(own)
+        return out
+
+    def _learn(self, segments: list[bytes]) -> None:
+        """Add the ids of segments of even texts."""
+        ends, cores = [], set()
+        for raw in segments:
+            s = raw.decode()
+            # A full stop or comma after a letter is a pre-token of its own.
+            if len(s) > 2 and s[-1] in ".," and s[-2].isalpha():
+                ends.append(raw)
+                if raw[:-1] not in self.known:
+                    cores.add(s[:-1])
+            else:
+                cores.add(s)
+        after, lines = ([s for s in cores if s[0] == lead] for lead in " \n")
+        first = [s for s in cores if s[0] not in " \n"]
+        for own, ids in ((after, self._joined(after)), (lines, self._joined(lines)), (first, self._ids(first))):
+            self.known.update(zip(map(str.encode, own), ids))
+        for raw in ends:
+            self.known[raw] = self.known[raw[:-1]] + self.stops[chr(raw[-1])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32, without an end id."""
         gc.disable()  # millions of strings, no cycles
         try:
-            return self._encode(texts)
+            even = [bool(t) and _even(t) for t in texts]
+            found = iter(self._encode_even([t for t, e in zip(texts, even) if e]))
+            rest = iter(self._encode_parts([t for t, e in zip(texts, even) if not e]))
+            return [next(found if e else rest) for e in even]
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut, first, after = [], set(), set()
-        for t in texts:
-            lines = _lines(t) if t else None
-            if lines is None:
-                parts = _CUT.split(t) if t else []
-                first.update(parts)
-                cut.append((False, parts))
-            else:
-                lines = [x.split(" ") for x in lines]
-                for x in lines:
-                    first.add(x[0])
-                    after.update(x[1:])
-                cut.append((True, lines))
-        new = (self._learn(self.first, first, ""), self._learn(self.after, after, " "))
-        head, get = self.first.__getitem__, self.after.__getitem__
-        out = [
-            self.line.join(head(x[0]) + b"".join(map(get, x[1:])) for x in parts) if even
-            else b"".join(map(head, parts)) for even, parts in cut]
-        for known, words in zip((self.first, self.after), new):
-            if len(known) > CACHE_SEGMENTS:
-                for w in words:
-                    del known[w]
+    def _encode_even(self, texts: list[str]) -> list[bytes]:
+        """Of texts cut before each space and line feed; equal segments are looked up once."""
+        if not texts:
+            return []
+        raw = [t.encode() for t in texts]
+        first = np.cumsum([0, *map(len, raw)])[:-1]
+        data = b"".join(raw)
+        flat = np.frombuffer(data, np.uint8)
+        cuts = (flat == 0x20) | (flat == 0x0A)
+        cuts[first] = True
+        starts = np.flatnonzero(cuts)
+        ends = np.append(starts, len(flat)).astype(np.int64)
+        cut = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+        segments, at = cut.dictionary.to_numpy(zero_copy_only=False).tolist(), cut.indices.to_numpy()
+        before = len(self.known)
+        fresh = [s for s in segments if s not in self.known]
+        self._learn(fresh)
+        ids = [self.known[s] for s in segments]
+        if len(self.known) > 2 * CACHE_SEGMENTS:
+            for s in list(self.known)[before:]:
+                del self.known[s]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        offsets = (np.cumsum(sizes) - sizes)[at]
+        sizes = sizes[at]
+        upto = np.cumsum(sizes)
+        places = np.repeat(offsets - upto + sizes, sizes)
+        places += np.arange(upto[-1])
+        found = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+        cuts = [*(4 * (upto - sizes)[np.searchsorted(starts, first)]).tolist(), len(found)]
+        return [found[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _encode_parts(self, texts: list[str]) -> list[bytes]:
+        cut = [_CUT.split(t) if t else [] for t in texts]
+        fresh = list({p for parts in cut for p in parts if p not in self.parts})
+        self.parts.update(zip(fresh, self._ids(fresh)))
+        out = [b"".join(map(self.parts.__getitem__, parts)) for parts in cut]
+        if len(self.parts) > CACHE_SEGMENTS:
+            for p in fresh:
+                del self.parts[p]
         return out
 
 
@@ -130,7 +179,7 @@ def _forget(path: str) -> None:
     release()
 
 
-def _groups(texts: list[str], size: int = 1 << 20):
+def _groups(texts: list[str], size: int = 2 << 20):
     """Runs of texts of about ``size`` characters."""
     i, held = 0, 0
     for j, t in enumerate(texts):

@@ -137,6 +137,23 @@ def test_segments_are_exact():
         assert np.frombuffer(ids, "<u4").tolist() == segments.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_segments_of_even_texts_are_exact(monkeypatch):
+    """Ids of words that are encoded together, with any cache; words are encoded fifty at a time, not one by one."""
+    segments = tokenfile._Segments(tokenfile.default_tokenizer())
+    rng = np.random.default_rng(3)
+    parts = ["a", "b", "é", "1", ".", ",", "'s", "!", "ll", "'", "<|endoftext|>", "漢", "Ġ", "Ċ", "Ab", "x1.", "y,"]
+    words = ["".join(rng.choice(parts, rng.integers(1, 6))) for _ in range(20_000)]
+    cut = np.cumsum(rng.integers(1, 40, 600))
+    texts = [words[a][0] + "".join(rng.choice([" ", "\n"]) + w for w in words[a:b]) for a, b in zip(cut, cut[1:])]
+    taken, plain = [], segments._ids
+    monkeypatch.setattr(segments, "_ids", lambda own: taken.append(len(own)) or plain(own))
+    for limit in (100_000, 0):
+        monkeypatch.setattr(tokenfile, "CACHE_SEGMENTS", limit)
+        for t, ids in zip(texts, segments.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == segments.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    assert sum(taken) < 3_000 and not segments.encode([])
+
+
 def test_token_file_empty(empty):
     assert tokenfile.token_table(empty, tokenfile.default_tokenizer()).count() == 0
 
