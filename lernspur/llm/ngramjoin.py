@@ -26,6 +26,7 @@ A set is known by a 64-bit number drawn from its shingles' hashes; overlaps are
 from __future__ import annotations
 
 import hashlib
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -120,14 +121,14 @@ def _bitmaps(rows: DataFrame, bits: int, wanted: list[tuple[int, int]]) -> list[
         for k, (least, size) in enumerate(wanted):
             stretch = np.zeros(1 << (size - bits), bool)
             stretch[own[total >= least] >> np.uint32(32 - (size - bits))] = True
-            out[f"m{k}"] = [np.packbits(stretch).tobytes()]
+            out[f"m{k}"] = [zlib.compress(np.packbits(stretch).tobytes(), 1)]  # most are nearly empty
         return pa.Table.from_pydict(out)
 
     kinds = ", ".join(f"m{k} binary" for k in range(len(wanted)))
     maps = [np.zeros(1 << (size - 3), np.uint8) for _, size in wanted]
     for r in rows.groupBy("block").applyInArrow(merge, f"block long, {kinds}").collect():
         for k, m in enumerate(maps):
-            part = np.frombuffer(r[f"m{k}"], np.uint8)
+            part = np.frombuffer(zlib.decompress(r[f"m{k}"]), np.uint8)
             m[r.block * len(part):(r.block + 1) * len(part)] = part
     return maps
 
@@ -344,34 +345,53 @@ def _linked(tested: DataFrame, share) -> DataFrame:
     return tested.where(_is_link(share)).select("x", "y")
 
 
+def _contract(batches):
+    """(node, comp) of the edges of one task: labels go down to the least along edges, and then along labels."""
+    ends = np.array([[], []], np.int64)
+    for held in batches:
+        ends = np.append(ends, [held.column("x").to_numpy(), held.column("y").to_numpy()], axis=1)
+    if ends.size:
+        nodes, at = np.unique(ends.ravel(), return_inverse=True)
+        a, b = at.reshape(2, -1)
+        label, before = np.arange(len(nodes)), None
+        while before is None or (label != before).any():
+            before = label.copy()
+            least = np.minimum(label[a], label[b])
+            np.minimum.at(label, before[a], least)
+            np.minimum.at(label, before[b], least)
+            while (label != label[label]).any():
+                label = label[label]
+        for i in range(0, len(nodes), 100_000):
+            yield pa.RecordBatch.from_pydict({"node": nodes[i:i + 100_000], "comp": nodes[label[i:i + 100_000]]})
+
+
 def components(edges: DataFrame, rows: int | None = None, few: int = FEW_EDGES) -> DataFrame:
     """(node, comp) for all ends of ``edges`` (x, y): comp is the least node reachable.
 
-    Alternates two star operations, each a minimum per node and a join, on stored tables, until only stars
-    are left; the rounds grow with the logarithm of the longest path. ``rows`` is an upper bound for the
-    edges: up to ``few`` are kept in one partition, which needs no shuffle; more, or an unknown number, are not.
+    ``rows`` is an upper bound for the edges: up to ``few`` are contracted in one task. For more, or an unknown
+    number, two star operations alternate, each a minimum per node and a join, on stored tables, until only stars
+    are left; the rounds grow with the logarithm of the longest path.
     """
-    def placed(df):
-        return df.coalesce(1) if rows is not None and rows <= few else df
-
-    now = placed(materialize(placed(edges).where("x <> y").select(
-        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()))
+    if rows is not None and rows <= few:
+        return edges.where("x <> y").coalesce(1).mapInArrow(_contract, "node long, comp long")
+    now = materialize(edges.where("x <> y").select(
+        F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
     while True:
-        both = placed(now.union(now.select("b", "a").toDF("a", "b")))
+        both = now.union(now.select("b", "a").toDF("a", "b"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = placed(materialize(large.where("a <> b")))
+        large = materialize(large.where("a <> b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
-        small = placed(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b")))).distinct()
-        now = placed(materialize(small))
+        small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+            least.select("a", F.col("m").alias("b"))).distinct()
+        now = materialize(small)
         # Stars: every node names one centre, and a centre names itself.
-        names = placed(now.union(now.select("b", "b"))).groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        names = now.union(now.select("b", "b")).groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
         if names.where("low <> high").isEmpty():
             break
-    return placed(now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
-        placed(now.select(F.col("b").alias("node"), F.col("b").alias("comp"))).distinct()))
+    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
+        now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
 def _with_comp(entries: DataFrame, comps: DataFrame | None) -> DataFrame:

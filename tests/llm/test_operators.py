@@ -106,6 +106,23 @@ def test_components_of_few_and_many(spark):
         assert len(got) == len(want) and dict(got) == want
 
 
+def test_few_edges_take_one_job(spark, monkeypatch):
+    """A long path within the bound is contracted without rounds of stored tables."""
+    stored, plain = [], ngramjoin.materialize
+    monkeypatch.setattr(ngramjoin, "materialize", lambda df: stored.append(df) or plain(df))
+    df = spark.createDataFrame([(i + 1, i) for i in range(-2_000, 2_000)], "x long, y long").repartition(4)
+    got = ngramjoin.components(df, 4_000).collect()
+    assert len(got) == 4_001 and {r.comp for r in got} == {-2_000} and not stored
+
+
+def test_bitmaps_reach_the_driver_compressed(spark, monkeypatch):
+    """What the driver collects for bitmaps follows the columns counted, not the bitmaps' fixed size."""
+    sent, plain = [], ngramjoin.zlib.decompress
+    monkeypatch.setattr(ngramjoin.zlib, "decompress", lambda x: sent.append(len(x)) or plain(x))
+    rows = spark.createDataFrame([(1, f"{'a b c d e f g ' * 3}{i % 3}") for i in range(9)], "doc_id long, text string")
+    assert ngramjoin.incidence(rows)[1].count() and 0 < sum(sent) < 1 << 18
+
+
 # ---- token file
 
 def test_token_file(spark, corpus, odd):
