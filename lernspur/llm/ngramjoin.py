@@ -17,7 +17,10 @@ only costs time.
 
 Products of long columns are not expanded. Each round multiplies every column with one leading row only;
 verified links are contracted to components, and only columns that still hold several components go on.
-When a round finds few links, all pairs that are left between components are checked. So no
+After the first round, every column has leading rows of its own, the rows of the leading row's component meet the
+first row of another one, and each row is checked with several: so a large component and the rows that face it are tried
+from both sides. When a round finds few links and the pairs that are left between components are not too many, when
+it finds none, or after ROUNDS rounds, all of these are checked. So no
 link between different components is lost, and groups of copies cost one pair for each member.
 
 A set is known by a 64-bit number drawn from its shingles' hashes; overlaps are counted on 48 bits of each.
@@ -46,6 +49,9 @@ BLOCK_BYTES = 4 << 20  # text per block of columns, about
 PIECE_BYTES = 2 << 20  # text, or sets, that a Python worker has in hand at a time, about; a longer one comes alone
 LONG = 1000  # a column with more entries than this is never gathered in one task
 HARVEST = 8  # rounds go on while one in so many of their pairs links
+CROWD = 8  # and while there are more pairs left between components than so many for each entry,
+ROUNDS = 6  # but no more than so many, and only while they link
+TRIES = 4  # leading rows that a row is checked with in a round after the first
 FEW_EDGES = 1_000_000  # so many edges, of two numbers each, are contracted in one task, without shuffles
 
 
@@ -432,17 +438,24 @@ def _beside_pivots(pivots: DataFrame, comps: DataFrame | None, share) -> DataFra
     own = _with_comp(pivots, comps)
     # What all of a pivot's rows have beside it is in no more than these entries; single ones go first.
     rows = materialize(own.select("node", "n", "pivot", "held", "comp", F.explode("own").alias("col")))
-    twice = rows.groupBy("pivot", "col").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).where(
-        "_low <> _high").select("pivot", "col")
-    rows = rows.join(twice, ["pivot", "col"], "left_semi")
+    twice = rows.groupBy("pivot", "col").agg(
+        F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count(F.lit(1)).alias("often")).where(
+        "_low <> _high").select("pivot", "col", "often")
+    # ``rest`` counts a row's columns from this one on, frequent ones last. A pair's first shared column must leave room
+    # for all that it needs, so a column that many rows share makes no pairs of rows that need more than that.
+    rows = rows.join(twice, ["pivot", "col"]).withColumn("rest", F.row_number().over(
+        Window.partitionBy("node").orderBy(F.desc("often"), F.desc("col"))))
+    held, bound = F.least("a.held", "b.held"), p * (F.col("a.n") + F.col("b.n"))
     pairs = rows.alias("a").join(rows.alias("b"), ["pivot", "col"]).where(
         (F.col("a.node") < F.col("b.node")) & (F.col("a.comp") != F.col("b.comp"))
-        & (q * F.least("a.n", "b.n") >= p * F.greatest("a.n", "b.n"))).select(
-        F.col("a.node").alias("x"), F.col("b.node").alias("y"), F.col("a.n").alias("nx"), F.col("b.n").alias("ny"),
-        F.least("a.held", "b.held").alias("held"))
+        & (q * F.least("a.n", "b.n") >= p * F.greatest("a.n", "b.n"))
+        & ((p + q) * (held + F.least("a.rest", "b.rest")) >= bound)).select(
+        F.col("a.node").alias("x"), F.col("b.node").alias("y"), held.alias("held"), bound.alias("bound"),
+        F.col("a.rest").alias("rx"), F.col("b.rest").alias("ry"))
     sums = pairs.groupBy("x", "y").agg(
-        F.count(F.lit(1)).alias("beside"), F.max("nx").alias("nx"), F.max("ny").alias("ny"), F.max("held").alias("held"))
-    return sums.where((p + q) * (F.col("held") + F.col("beside")) >= p * (F.col("nx") + F.col("ny"))).select("x", "y")
+        F.count(F.lit(1)).alias("beside"), F.max("held").alias("held"), F.max("bound").alias("bound"),
+        F.least(F.min("rx"), F.min("ry")).alias("rest"))
+    return sums.where((p + q) * (F.col("held") + F.col("beside") + F.col("rest") - 1) >= F.col("bound")).select("x", "y")
 
 
 _ENTRY = ["col", "node", "n", "pos", "most", "long"]
@@ -459,9 +472,19 @@ def _leads(lead: Column, share) -> Column:
         F.col("n"), F.col("most"), lead["n"], lead["most"], share)
 
 
-def _led_short(own: DataFrame, first: Column, share) -> DataFrame:
+def _pairs_left(live: DataFrame) -> tuple[int, int]:
+    """Entries, and pairs of entries of one column and different components; no pair is made to count them."""
+    k = F.col("k")
+    pairs, entries = live.groupBy("col", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("col").agg(
+        ((F.sum(k) * F.sum(k) - F.sum(k * k)) / 2).alias("pairs"), F.sum(k).alias("entries")).agg(
+        F.sum("pairs"), F.sum("entries")).first()
+    return entries or 0, pairs or 0
+
+
+def _led_short(own: DataFrame, first: Column, share, others: bool) -> DataFrame:
     """Live entries of short columns with the leading rows they meet, ``with``.
 
+    With ``others``, rows of the leading row's component meet the first one of another component.
     Rows move once, by column; a column has no more than LONG of them.
     """
     column = Window.partitionBy("col")
@@ -471,24 +494,32 @@ def _led_short(own: DataFrame, first: Column, share) -> DataFrame:
         _can_link(F.col("n"), F.col("most"), F.col("_least"), F.col("most"), share))
     row = F.struct(first.alias("o"), "node", "comp", "n", "most")
     for i, size in enumerate(_size_classes(share)):
-        live = live.withColumn(f"_size{i}", size).withColumn(
-            f"_lead{i}", F.min(row).over(Window.partitionBy("col", f"_size{i}")))
+        alike, lead = Window.partitionBy("col", f"_size{i}"), F.col(f"_lead{i}")
+        live = live.withColumn(f"_size{i}", size).withColumn(f"_lead{i}", F.min(row).over(alike))
+        if others:
+            foreign = F.col("comp") != lead["comp"]
+            live = live.withColumn(f"_other{i}", F.min(F.when(foreign, row)).over(alike)).withColumn(
+                f"_lead{i}", F.when(foreign, lead).otherwise(F.col(f"_other{i}")))
     leads = [F.when(_leads(F.col(f"_lead{i}"), share), F.col(f"_lead{i}.node")) for i in range(2)]
     return live.select(*_ENTRY, "comp", F.array_compact(F.array(*leads)).alias("with"))
 
 
-def _led_long(own: DataFrame, first: Column, share) -> DataFrame:
+def _led_long(own: DataFrame, first: Column, share, others: bool) -> DataFrame:
     """As :func:`_led_short` for long columns, by aggregates that combine before rows move."""
     ends = own.groupBy("col").agg(
         F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.min("n").alias("_least")).where("_low <> _high")
     live = own.join(ends, "col").where(
         _can_link(F.col("n"), F.col("most"), F.col("_least"), F.col("most"), share))
     classed = live.select(*own.columns, F.explode(F.array(*_size_classes(share))).alias("size"))
-    lead = classed.groupBy("col", "size").agg(F.min(F.struct(
-        first.alias("o"), "node", "comp", "n", "most")).alias("lead"))
+    row = F.struct(first.alias("o"), "node", "comp", "n", "most")
+    met = classed.join(classed.groupBy("col", "size").agg(F.min(row).alias("lead")), ["col", "size"])
+    if others:
+        foreign = F.col("comp") != F.col("lead.comp")
+        other = met.where(foreign).groupBy("col", "size").agg(F.min(row).alias("other"))
+        met = met.join(other, ["col", "size"], "left").withColumn("lead", F.when(foreign, F.col("lead")).otherwise(F.col("other")))
     # An entry has two rows here, one for each grid; the second, without a column, only brings its leading row.
     with_ = F.when(_leads(F.col("lead"), share), F.array("lead.node")).otherwise(F.array().cast("array<bigint>"))
-    return classed.join(lead, ["col", "size"]).withColumn("col", F.when(F.col("size") % 2 == 0, F.col("col"))).select(
+    return met.withColumn("col", F.when(F.col("size") % 2 == 0, F.col("col"))).select(
         *_ENTRY, "comp", with_.alias("with"))
 
 
@@ -502,16 +533,20 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
     while True:
         own = _with_comp(live, comps)
         # A leading row for each class of sizes. It is the row with fewest columns of its own, as the
-        # original of many copies has, and in later rounds one by hash.
-        first = F.col("n") - F.col("most") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        # original of many copies has; in later rounds one of these by hash, and one of all in turns.
+        alone, by_hash = F.col("n") - F.col("most"), F.xxhash64("node", "col", F.lit(turn))
+        first = alone if turn == 0 else F.struct(alone, by_hash) if turn % 2 else by_hash
         # Entries of columns that still hold several components, without those that can link with no
         # row of the column.
-        led = materialize(_led_short(own.where("NOT long"), first, share).union(
-            _led_long(own.where("long"), first, share)))
+        led = materialize(_led_short(own.where("NOT long"), first, share, turn > 0).union(
+            _led_long(own.where("long"), first, share, turn > 0)))
         live = led.where("col IS NOT NULL").drop("with")
         star = led.select("node", F.explode("with").alias("with"))
         if turn:
             last = HARVEST * fresh_links <= fresh_pairs
+            if last and fresh_links and turn < ROUNDS:
+                entries_left, pairs_left = _pairs_left(live)
+                last = pairs_left <= CROWD * entries_left
             if last:
                 slim = _with_pivot(live.select("col", "node", "n", "pos", "most", "comp"), pivots)
                 star = slim.alias("a").join(slim.alias("b"), "col").where(
@@ -525,11 +560,14 @@ def links(documents: DataFrame, entries: DataFrame, width: int = WIDTH, share=SH
         if last:
             fresh = _untested(_bounded(star, share).select("x", "y").union(_beside_pivots(pivots, comps, share)), tested)
         else:
-            # Rounds need not be complete: each row is checked with the leading row it shares most with.
+            # Rounds need not be complete: each row is checked with the leading rows it shares most with.
+            x, y = F.col("node"), F.col("with")
+            x, y = (x, y) if turn == 0 else (F.least(x, y), F.greatest(x, y))
             sums = star.groupBy("node", "with").agg(F.count(F.lit(1)).alias("shared")).select(
-                "node", "shared", F.col("node").alias("x"), F.col("with").alias("y"))
+                "node", "shared", x.alias("x"), y.alias("y"))
+            best = F.sort_array(F.collect_list(F.struct("shared", "x", "y")), False)
             fresh = _untested(sums, tested).groupBy("node").agg(
-                F.max(F.struct("shared", "x", "y")).alias("b")).select("b.x", "b.y").distinct()
+                F.slice(best, 1, TRIES if turn else 1).alias("b")).select(F.inline("b"))
         fresh = materialize(fresh.select("x", "y").distinct())
         done = verified(documents, fresh, width, share)
         new = _linked(done, share)

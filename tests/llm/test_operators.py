@@ -93,6 +93,25 @@ def test_join_family(spark, monkeypatch):
     check_join(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_rows_that_face_a_large_component(spark, monkeypatch):
+    """Rows beside a family that link with its original only, which does not lead: few pairs are checked for them."""
+    rng = np.random.default_rng(8)
+    base = [f"b{i}" for i in range(150)]
+
+    def edited(text, places):
+        return [f"e{rng.integers(1 << 40)}" if i in places else w for i, w in enumerate(text)]
+
+    hub = edited(base, {2})
+    family = [edited(hub, {0, *(1 + rng.choice(2, 1)), 140 + int(rng.integers(9)), 100 + int(rng.integers(20))}) for _ in range(160)]
+    beside = [edited(base, {40 + 10 * i for i in rng.choice(9, 3, replace=False)}) for _ in range(60)]
+    texts = [*[hub] * 12, base, base, *family, *beside]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    checked, plain_verified = [], ngramjoin.verified
+    monkeypatch.setattr(ngramjoin, "verified", lambda *a: checked.append(a[1].count()) or plain_verified(*a))
+    check_join(df)
+    assert max(checked) < 1_000
+
+
 def test_components_of_few_and_many(spark):
     """A chain, a ring, stars, loops and repeated edges, in one partition and by shuffles."""
     chain = [(i, i + 1) for i in range(-40, 40)]
