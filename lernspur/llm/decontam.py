@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lernspur.runtime import materialize
 
 from .lattice import spans_of
-from .text import SLICE, _LOWER, _SPACE, column_bytes, edges, hash_runs, mix
+from .text import SLICE, _LOWER, _SPACE, column_bytes, edges, hash_runs, mix, release
 
 WIDTH = 8
 LEAST_COVER = 0.5
 LEAST_AGREE = 0.5
 BITMAP_BITS = 1 << 26
 LEXICON_BITS = 1 << 24
+PIECE = SLICE // 4  # text that a Python worker cuts at a time; a longer one comes alone. A byte takes some 80 bytes of arrays
 
 # Unit words, lower case without punctuation.
 UNITS = ["mm", "cm", "m", "km", "in", "ft", "mi", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr",
@@ -109,6 +110,13 @@ class Tokens:
         return out
 
 
+def _pieces(column):
+    """(first row, tokens) of a text column, some rows at a time."""
+    data, offsets, _ = column_bytes(column)
+    for i, j in spans_of(offsets, PIECE):
+        yield i, Tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+
+
 class Template:
     """Tokens with placeholders, runs of the same kind merged: the arrays have one entry per run or word.
 
@@ -177,12 +185,12 @@ def _lexicon(benchmark: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def cut(batches):
         for batch in batches:
-            data, offsets, _ = column_bytes(batch.column("text"))
-            for i, j in spans_of(offsets, 2 * SLICE):
-                tokens = Tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            for _, tokens in _pieces(batch.column("text")):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(tokens.value.astype(np.int64)), pa.array(tokens.capital & ~tokens.begin),
                     pa.array(tokens.lower)], names=["hash", "name", "word"])
+        batch = tokens = None
+        release()
 
     seen = benchmark.select("text").mapInArrow(cut, "hash long, name boolean, word boolean") \
         .groupBy("hash").agg(F.max("name").alias("name"), F.max("word").alias("word"))
@@ -286,9 +294,7 @@ def document_windows(documents: DataFrame, lexicon, bitmap: np.ndarray, widths:
     def cut(batches):
         seen, *lexicon = shared.value
         for batch in batches:
-            data, offsets, _ = column_bytes(batch.column("text"))
-            for i, j in spans_of(offsets, 2 * SLICE):
-                tokens = Tokens(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            for i, tokens in _pieces(batch.column("text")):
                 for own, start, first, last in found(tokens, seen, lexicon):
                     row = pa.array(tokens.of[start] + i)
                     head = np.searchsorted(tokens.of, tokens.of[start], side="left")
@@ -298,6 +304,8 @@ def document_windows(documents: DataFrame, lexicon, bitmap: np.ndarray, widths:
                         pa.array((start - head).astype(np.int32)),
                         *(pa.ListArray.from_arrays(lists, x.astype(np.int64).ravel()) for x in (first, last))],
                         names=["rid", "doc_id", "hash", "start", "firsts", "lasts"])
+        batch = tokens = None
+        release()
 
     rows = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(cut, _HIT)

@@ -192,6 +192,8 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "node": nodes, "n": sizes, "prefix": heads},
                 pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary())]))
+        batch = heads = None
+        release()
 
     stored = materialize(rows.mapInArrow(prefixes, "doc_id long, node long, n long, prefix binary"))
     hot.destroy()
@@ -234,6 +236,8 @@ def incidence(documents: DataFrame, width: int = WIDTH, share=SHARE) -> tuple[Da
                 held, rows_held = [], 0
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+        held = batch = None
+        release()
 
     entries = materialize(kept.mapInArrow(packed, "col long, node long, n long, pos int, most long, long boolean"))
     seen.destroy()
@@ -315,6 +319,8 @@ def verified(documents: DataFrame, pairs: DataFrame, width: int, share) -> DataF
             bytes_to = np.cumsum([0, *np.add(*(pc.binary_length(whole.column(c)).to_numpy() for c in ("sx", "sy")))])
             for at, n in _pieces(bytes_to):
                 yield overlap(whole.slice(at, n))
+        whole = None
+        release()
 
     def overlap(batch):
         counts, own, last, ys = {"shared": [], "nx": [], "ny": []}, [], None, None

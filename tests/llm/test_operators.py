@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,6 +297,20 @@ def leaks_of(spark, item, *texts):
     return {r.doc_id for r in decontam.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
 
 
+def test_texts_are_cut_a_piece_at_a_time():
+    """Memory follows the piece and not the batch; the tokens are those of the whole batch."""
+    texts = ["Anna walks 3 km, then Bob takes 12 apples.  " * (i % 90) for i in range(1_000)]
+    column = pa.array(texts)
+    whole = decontam.Tokens(np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)]))
+    tracemalloc.start()
+    cut = [(i + t.of, t.value, t.begin) for i, t in decontam._pieces(column)]
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    for got, want in zip(map(np.concatenate, zip(*cut)), (whole.of, whole.value, whole.begin)):
+        assert got.tolist() == want.tolist()
+    assert most - kept < 32 << 20
+
+
 def test_leaks_with_other_lengths(spark):
     item = ("one day the old farmer called Bob went to the market of the small town with 12 fresh eggs and sold half of them "
             "to the baker before he came home again in the dark")
